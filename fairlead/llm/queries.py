@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, mixing, secrets, tokens, toxicity
+from . import chat, fingerprints, jaccard, mixing, secrets, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(table(spark, sf_dir, "documents"), tokenizer(), 49_408, end_id=1)
 
@@ -108,6 +112,7 @@ def queries() -> dict:
         "op3_toxicity": op3_toxicity,
         "op4_secrets": op4_secrets,
         "op5_chat": op5_chat,
+        "op7_jaccard": op7_jaccard,
         "op8_token_files": op8_token_files,
     }
 
