@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, jaccard, mixing, secrets, tokens, toxicity
+from . import chat, fingerprints, jaccard, mixing, secrets, substrings, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -112,6 +117,7 @@ def queries() -> dict:
         "op3_toxicity": op3_toxicity,
         "op4_secrets": op4_secrets,
         "op5_chat": op5_chat,
+        "op6_substrings": op6_substrings,
         "op7_jaccard": op7_jaccard,
         "op8_token_files": op8_token_files,
     }
