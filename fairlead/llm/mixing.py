@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, stored, word_count
+from .common import BROADCAST_ROWS, broadcast_if_small, stored, word_count
 
 SLOTS = 4096
 
@@ -116,3 +116,11 @@ def mix(
     copies = (F.col("whole") + F.coalesce(fits & (F.col("size") > 0), F.lit(False)).cast("long")).alias("copies")
     out = _with(ranked, takes, small=small, how="left").select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies)
     return out.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: docs with each row repeated as often as mix() takes it (not at all for 0), with the columns of docs."""
+    copies = stored(mix(docs, id_col=id_col, source_col=source_col, **how).filter("copies > 0").select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("copies").cast("int").alias("__copies")).distinct(), "mix-copies")
+    on = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source"))
+    taken = docs.join(broadcast_if_small(copies), on).withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

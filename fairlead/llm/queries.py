@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, jaccard, mixing, secrets, substrings, tokens, toxicity
+from . import chat, decontaminate, fingerprints, jaccard, licenses, mixing, secrets, substrings, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(table(spark, sf_dir, "documents"), tokenizer(), 49_408, end_id=1)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def _secrets_sql() -> str:
     """Matches by regexp_extract_all, their places by the lengths of what string_split_regex leaves between them."""
     parts = []
@@ -120,6 +128,8 @@ def queries() -> dict:
         "op6_substrings": op6_substrings,
         "op7_jaccard": op7_jaccard,
         "op8_token_files": op8_token_files,
+        "op9_decontaminate": op9_decontaminate,
+        "op10_licenses": op10_licenses,
     }
 
 
