@@ -18,6 +18,7 @@ has (the more, the likelier a chance likeness), by a logistic model fitted on do
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from heapq import nlargest
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import mapped
 
 #: Bounds of the training sample: documents of each label, landmarks, negatives in the first round and added in a later one.
-PER_LABEL, LANDMARKS, NEGATIVES, HARD = 3000, 96, 12_000, 3_000
+PER_LABEL, LANDMARKS, NEGATIVES, HARD = 2000, 96, 12_000, 3_000
 DECAY, LONGEST, ALPHABET = 0.5, 24, 64
 #: How many of a document's words its score rests on.
 TOP = 4
@@ -125,11 +126,11 @@ class Kernel:
     def with_all(self, words: list[str], landmarks: list[str]) -> np.ndarray:
         """Normalised kernels, words by landmarks; of a long word's pieces the largest."""
         out = np.zeros((len(words), len(landmarks)), np.float32)
-        tables = [self.triples(z) for z in landmarks]
-        for at, points, codes in self.rows(words):
-            root = np.sqrt(self.norms(points))
-            for z, t in enumerate(tables):
-                np.maximum.at(out[:, z], at, self.sums(codes, t) / root)
+        rows = [(at, codes, np.sqrt(self.norms(points))) for at, points, codes in self.rows(words)]
+        for z, landmark in enumerate(landmarks):
+            table = self.triples(landmark)
+            for at, codes, root in rows:
+                np.maximum.at(out[:, z], at, self.sums(codes, table) / root)
         return out
 
 
@@ -199,17 +200,25 @@ def _witnesses(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]
         w = f"^{trimmed(w)[:LONGEST]}$"
         return {w[i : i + n] for n in range(3, 7) for i in range(len(w) - n + 1)} | {w}
 
-    t, c = Counter(), Counter()
-    for counts, bags in ((t, toxic), (c, clean)):
-        for bag in bags:
-            counts.update(set().union(*map(cut, bag)))
-    ratio = lambda r: np.log((t[r] + 0.5) / len(toxic)) - np.log((c[r] + 0.5) / len(clean))
+    def cuts(bag: set[str]) -> set[str]:
+        return set().union(*map(cut, bag))
+
+    # Runs in fewer toxic documents than `least` are ruled out by counts in hashed cells first, which keeps the tables small.
     least = max(3, len(toxic) // 200)
-    value = {r: ratio(r) + 0.1 * len(r) for r, n in t.items() if n >= least and ratio(r) > np.log(8)}
+    cells = np.zeros(1 << 22, np.int32)
+    for bag in toxic:
+        cells[np.unique(np.fromiter(map(hash, cuts(bag)), np.int64) & (len(cells) - 1))] += 1
+    t = Counter(r for bag in toxic for r in cuts(bag) if cells[hash(r) & (len(cells) - 1)] >= least)
+    t = Counter({r: n for r, n in t.items() if n >= least})
+    c = Counter(r for bag in clean for r in cuts(bag) & t.keys())
+    whole = Counter(w for bag in clean for w in {trimmed(u)[:LONGEST] for u in bag})
+    seen = Counter(w for bag in toxic for w in {trimmed(u)[:LONGEST] for u in bag})
+    odds = lambda a, b: np.log((a + 0.5) / len(toxic)) - np.log((b + 0.5) / len(clean))
+    value = {r: v + 0.1 * len(r) for r, n in t.items() if (v := odds(n, c[r])) > np.log(8)}
     out: Counter = Counter()
     for bag in toxic:
         best = sorted(((max(map(value.get, cut(w) & value.keys()), default=0), w) for w in {trimmed(u) for u in bag}), reverse=True)[:4]
-        out.update(w for v, w in best if v > 0 and ratio(f"^{w[:LONGEST]}$") > np.log(4))
+        out.update(w for v, w in best if v > 0 and odds(seen[w[:LONGEST]], whole[w[:LONGEST]]) > np.log(4))
     return dict(out)
 
 
@@ -241,7 +250,6 @@ def fit(toxic: list[set[str]], clean: list[set[str]], seed: int = 7, rounds: int
     marks = sorted(dict.fromkeys(marks))
     values, vectors = np.linalg.eigh(kernel.with_all(marks, marks).astype(np.float64))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
-    tables = np.stack([kernel.triples(z).astype(np.float32) for z in marks])
 
     seen: dict[str, np.ndarray] = {}
     for n in range(rounds):
@@ -253,7 +261,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]], seed: int = 7, rounds: int
         cost = np.array([min(good[w], 50.0) for w in positive] + [min(often[w], 50.0) ** 0.5 for w in negative])
         cost[y > 0] *= 0.5 * cost[y < 0].sum() / cost[y > 0].sum()
         w, bias = _svm(x, y, cost)
-        model = Model(alphabet, np.tensordot(root @ w, tables, 1), bias)
+        model = Model(alphabet, sum(c * kernel.triples(z) for c, z in zip(root @ w, marks)), bias)
         bad |= {ordinary[i] for i in np.argsort(-model.margins(ordinary))[:HARD]}
     scorer = Scorer(model)
     x, y = scorer.features([*toxic_cal, *clean_cal]), np.repeat([1.0, 0.0], [len(toxic_cal), len(clean_cal)])
@@ -285,20 +293,32 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed:
             yield pd.DataFrame({"toxic": b["toxic"], "words": [sorted(units(t)) for t in b["text"]]})
 
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
-    rows = mapped(texts, f, "toxic int, words array<string>").collect()
-    bags = sorted((r["toxic"], sorted(r["words"])) for r in rows)
-    return fit([set(w) for t, w in bags if t == 1], [set(w) for t, w in bags if t == 0], seed)
+    bags: tuple[list, list] = [], []
+    for r in mapped(texts, f, "toxic int, words array<string>").toLocalIterator():
+        bags[r["toxic"]].append(tuple(map(sys.intern, r["words"])))
+    clean, toxic = (list(map(set, sorted(x))) for x in bags)
+    return fit(toxic, clean, seed)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with `score` (0 to 1) and `predicted` (1 from 0.5): null, empty and blank texts get the score of a text without any
-    word, which is low. Other columns stay; such named score or predicted are replaced. Rows are scored one by one, in place."""
-
+def _column(model: Model):
     @F.pandas_udf("double")
     def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
         for texts in batches:
             yield pd.Series(scorer.scores(texts))
 
+    return column
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """docs with `score` (0 to 1) and `predicted` (1 from 0.5): null, empty and blank texts get the score of a text without any
+    word, which is low. Other columns stay; such named score or predicted are replaced. Rows are scored one by one, in place."""
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    return docs.withColumn("score", _column(model)(F.col(text_col))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs that score() predicts 0 for, unchanged."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
-    return docs.withColumn("score", column(F.col(text_col))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.filter(_column(model)(F.col(text_col)) < 0.5)
