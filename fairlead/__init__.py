@@ -1,0 +1 @@
+"""A PySpark engine for collecting, cleaning, merging and serving learning opportunities from many feeds."""
