@@ -7,7 +7,8 @@ window and all its copies meet in one, and each automaton goes just where the do
 1. Each window is represented by its anchor, the k-gram in it with the smallest hash (the leftmost of equals). Equal windows have
    equal anchors at equal places. Consecutive windows with the same anchor form a piece. An anchor comes every eight or nine words
    or so for windows of 20, so there are far fewer pieces than windows.
-2. Pieces are sorted by anchor and content. A piece with the content of an earlier one is matched whole, without being streamed.
+2. Pieces are sorted by anchor and content. A piece with the content of an earlier one is matched whole, without being streamed;
+   where both are in one batch of documents that is seen before the shuffle, so a piece in very many documents is no hot group.
    Where an anchor has pieces of different content, windows in them may still be equal.
 3. Such pieces, once for each content, go to the shard of their anchor. There they are streamed in document order through the
    suffix automaton of all pieces before them: where the matching statistic reaches the window length, the window starts
@@ -145,6 +146,9 @@ def _sorted_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     contents, the first of each content (not whole). State between batches is one piece, however many share an anchor."""
     held = None  # (anchor, content, its row if it is the anchor's first content and not told yet)
     for b in batches:
+        if b["whole"].any():
+            yield b[b["whole"]][["id", "start", "n", "anchor", "whole"]]
+            b = b[~b["whole"]]
         if not len(b):
             continue
         anchor, content = b["anchor"].to_numpy(), b["content"].to_numpy()
@@ -180,18 +184,16 @@ def repeated_spans(docs: DataFrame, window: int = 20, gram: int = 5, id_col: str
         known = WordIds()
         for b in batches:
             got = [pieces(known.array(t.encode("utf-8", "surrogatepass").split()), window, gram) for t in b["text"]]
-            yield pd.DataFrame(
-                {
-                    "anchor": np.concatenate([g[0] for g in got]).view(np.int64),
-                    "content": np.concatenate([g[1] for g in got]).view(np.int64),
-                    "id": np.repeat(b["id"].to_numpy(), [len(g[0]) for g in got]),
-                    "start": np.concatenate([g[2] for g in got]),
-                    "n": np.concatenate([g[3] for g in got]),
-                }
-            )
-
-    cuts = mapped(base, cut, "anchor long, content long, id long, start int, n int")
-    cuts = cuts.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor", "content", "id", "start")
+            anchor, content = np.concatenate([g[0] for g in got]).view(np.int64), np.concatenate([g[1] for g in got]).view(np.int64)
+            doc, start = np.repeat(b["id"].to_numpy(), [len(g[0]) for g in got]), np.concatenate([g[2] for g in got])
+            order = np.lexsort((start, doc, content, anchor))
+            whole = np.zeros(len(order), bool)
+            whole[order[1:]] = (anchor[order[1:]] == anchor[order[:-1]]) & (content[order[1:]] == content[order[:-1]])
+            route = np.where(whole, doc, anchor)
+            yield pd.DataFrame({"route": route, "whole": whole, "anchor": anchor, "content": content, "id": doc, "start": start, "n": np.concatenate([g[3] for g in got])})
+
+    cuts = mapped(base, cut, "route long, whole boolean, anchor long, content long, id long, start int, n int")
+    cuts = cuts.repartition(partitions(spark), "route").sortWithinPartitions("whole", "anchor", "content", "id", "start").drop("route")
     found = stored(mapped(cuts, _sorted_pieces, "id long, start int, n int, anchor long, whole boolean"), "repeats")
 
     open_ = found.filter("not whole")
