@@ -63,10 +63,18 @@ def key_bounds(docs: DataFrame, column: str, pieces: int) -> np.ndarray:
     return np.unique(np.array(got or [], np.int64))
 
 
+#: Bytes of rows that go to Python at once.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts can be long, so a number of rows alone bounds no batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def mapped(df: DataFrame, f: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    """mapInPandas over batches of bounded size: texts can be long, so rows alone are no bound."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    """mapInPandas over batches of bounded size."""
+    small_batches(df.sparkSession)
     return df.mapInPandas(f, schema)
 
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped
+from .common import mapped, small_batches
 
 #: Items in one index (each some hundred words at most: some MB), BM25's constants, and postings in a block.
 ITEMS, K1, B, BLOCK = 20_000, 1.2, 0.75, 4
@@ -212,6 +212,7 @@ def _clean(index: Index, threshold: float, overlap: float):
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """docs without those that hold a test item; all columns and other rows stay as they are."""
+    small_batches(docs.sparkSession)
     for index in indexes(benchmark):
         docs = docs.filter(_clean(index, threshold, overlap)("text"))
     return docs

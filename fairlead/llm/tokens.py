@@ -12,6 +12,8 @@ A block takes documents until it holds BLOCK_IDS ids, so it is bounded by that a
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -48,35 +50,117 @@ def unpack(payload: bytes, bits: int, n: int, start: int = 0) -> np.ndarray:
     return (planes.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
 
 
+def _letters(word: str) -> bool:
+    """Whether a word is letters alone and stays so when normalised and lower-cased."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class WordEncoder:
-    """A tokenizer whose pre-tokenizer never joins across ASCII white space, with the ids of each run of other characters
-    remembered. Emptied when it holds too many runs.
+    """A tokenizer whose pre-tokenizer cuts texts at ASCII white space, and between letters, digits and other characters; the ids of
+    each piece are remembered, as two bytes each. Pieces are encoded once, many at a time.
 
-    That white space only separates is checked when it is made: tokenizers for which it doesn't hold encode whole texts."""
+    Texts are cut here by the same rule, with the bytes above ASCII counted as letters. Where a piece has such bytes and isn't
+    letters alone, or a special token may be in the text, the text is cut at white space only. That cutting gives what encoding
+    whole texts gives is tried on a probe when the encoder is made; tokenizers for which it doesn't hold, and texts with the
+    parting token, are encoded whole. When too many pieces are known, all are forgotten."""
 
-    PROBE = "It's a test,\n of  2 words\tand\x0bnumb3rs 12 . Ünïcode ΣΑΣ é ́x <|endoftext|> end  z"
+    PROBE = "It's a Test,\n of  2 words.\tand\x0bnumb3rs 12, É. ÜnïCode ΣΑΣ é ́x <|endoftext|> n1. ok... \"end.\"'s I'll 3's z"
+    PART = "<|startoftext|>"
+    _PIECE = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]+|[^a-z0-9\x80-\xff\s]+")
+    #: Stands for a piece that isn't to be cut out of its surroundings; of odd length, so no ids look like it.
+    _WHOLE = b"\xff\xff\xff"
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 900_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most, self.known = most, {}
-        self.apart = self._whole(self.PROBE) == [i for w in self.PROBE.encode().split() for i in self._whole(w.decode())]
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.most, self.known, self.chunks = most, {}, {}
+        self.part = self.tokenizer.token_to_id(self.PART)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.apart = False
+        if self.part is not None and len(self.ends) <= 1 << 16:
+            self.apart = all(self._by_pieces([x])[0].tolist() == self._whole(x).tolist() for x in (self.PROBE, *self.PROBE.split()))
+        self.known, self.chunks = {}, {}
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _learn(self, new: set[bytes]) -> None:
+        known = self.known
+        plain, other = [], []
+        for w in new:
+            if w[0] > 127 or 97 <= w[0] <= 122:  # a letter, or a byte above ASCII
+                text = w.decode()
+                if _letters(text):
+                    plain.append((w, text))
+                else:
+                    known[w] = self._WHOLE
+            else:
+                other.append((w, w.decode()))
+        for k in range(0, len(plain), 2000):
+            # Each is one unit for the tokenizer, whose last token is marked as ending a word.
+            some = plain[k : k + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([t for _, t in some])], add_special_tokens=False)[0].ids, "<u2")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some) or cuts[-1] != len(ids):
+                self._encode_parted(some, known)
+                continue
+            raw, start = ids.tobytes(), 0
+            for (w, _), end in zip(some, (2 * cuts).tolist()):
+                known[w] = raw[start:end]
+                start = end
+        self._encode_parted(other, known)
+
+    def _encode_parted(self, words: list[tuple[bytes, str]], into: dict[bytes, bytes]) -> None:
+        for k in range(0, len(words), 1000):
+            some = words[k : k + 1000]
+            got = self.tokenizer.encode_batch_fast([f" {self.PART} ".join([t for _, t in some])], add_special_tokens=False)[0].ids
+            ids = np.array([self.part, *got], "<u2")
+            cuts = np.append(np.flatnonzero(ids == self.part), len(ids)).tolist()
+            if len(cuts) != len(some) + 1:
+                raise ValueError("the parting token is not kept apart")
+            raw = ids.tobytes()
+            for (w, _), i, j in zip(some, cuts, cuts[1:]):
+                into[w] = raw[2 * i + 2 : 2 * j]
+
+    def _by_chunks(self, raw: bytes) -> list[bytes]:
+        """The ids of a text cut at white space only."""
+        words, chunks = raw.split(), self.chunks
+        if len(chunks) > 100_000:
+            chunks.clear()
+        self._encode_parted([(w, w.decode()) for w in dict.fromkeys(words) if w not in chunks], chunks)
+        return [chunks[w] for w in words]
+
+    def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.known) > self.most:
+            self.known.clear()
+        get, cut = self.known.get, self._PIECE.findall
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        pieces = [() if b"<|" in r else cut(r.lower()) for r in raw]
+        found = [list(map(get, p)) for p in pieces]
+        gaps = [[i for i, x in enumerate(parts) if x is None] if None in parts else () for parts in found]
+        self._learn({p[i] for p, at in zip(pieces, gaps) for i in at})
+        out = []
+        for r, p, parts, at in zip(raw, pieces, found, gaps):
+            for i in at:
+                parts[i] = get(p[i])
+            if b"<|" in r or (not r.isascii() and self._WHOLE in parts):
+                parts = self._by_chunks(r)
+            out.append(np.frombuffer(b"".join(parts), "<u2"))
+        return out
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for k in range(0, len(texts), 128):
+            some = texts[k : k + 128]
+            whole = {i: self._whole(t) for i, t in enumerate(some) if not self.apart or self.PART in t}
+            words = iter(self._by_pieces([t for i, t in enumerate(some) if i not in whole]))
+            for i in range(len(some)):
+                yield whole[i] if i in whole else next(words)
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.apart:
-            return np.array(self._whole(text), np.uint32)
-        words, known = text.encode("utf-8", "replace").split(), self.known
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = list(set(words))
-        for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False) if new else ()):
-            known[w] = np.array(e.ids, np.uint32).tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
+        return next(self.encode_all([text]))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -103,30 +187,31 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
-        now, block, first = None, 0, 0
+        now, block, first, size = None, 0, 0, 0
+        end = np.array([end_id], np.uint32)
         ids: list[np.ndarray] = []
         held: list[int] = []
+        ends: list[int] = [0]
 
         def flush() -> tuple:
-            ends = np.cumsum([0, *map(len, ids)]).astype("<u4")
-            return now, block, first, int(ends[-1]), bits, np.array(held, "<i8").tobytes(), ends.tobytes(), pack(np.concatenate(ids), bits)
+            body = np.concatenate(ids)
+            if body.max() >= 1 << bits:
+                raise ValueError(f"id {body.max()} does not fit a vocabulary of {vocabulary}")
+            return now, block, first, size, bits, np.array(held, "<i8").tobytes(), np.array(ends, "<u4").tobytes(), pack(body, bits)
 
-        size = 0
         for batch in batches:
             out = []
-            for s, k, text in zip(batch["shard"].tolist(), batch["k"].tolist(), batch["text"].tolist()):
+            for s, k, got in zip(batch["shard"].tolist(), batch["k"].tolist(), enc.encode_all(batch["text"].tolist())):
                 if held and (s != now or size >= block_ids):
                     out.append(flush())
-                    first, block = first + size, block + 1
-                    ids, held, size = [], [], 0
+                    first, block, size = first + size, block + 1, 0
+                    ids, held, ends = [], [], [0]
                 if s != now:
                     now, block, first = s, 0, 0
-                got = np.append(enc.encode(text), np.uint32(end_id))
-                if got.max() >= 1 << bits:
-                    raise ValueError(f"id {got.max()} does not fit a vocabulary of {vocabulary}")
-                ids.append(got)
+                ids += (got, end)
                 held.append(k)
-                size += len(got)
+                size += len(got) + 1
+                ends.append(size)
             if out:
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in SCHEMA.split(", ")])
         if held:
@@ -148,8 +233,8 @@ def read_tokens(spark, path: str) -> DataFrame:
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for b in batch.itertuples(index=False):
-                ends, raw = np.frombuffer(b.offsets, "<u4").astype(np.int64), unpack(b.payload, b.bits, b.n_ids).astype("<u4")
-                crc = [zlib.crc32(raw[i:j].tobytes()) for i, j in zip(ends[:-1], ends[1:])]
+                ends, raw = np.frombuffer(b.offsets, "<u4").astype(np.int64), memoryview(unpack(b.payload, b.bits, b.n_ids).astype("<u4", copy=False).tobytes())
+                crc = [zlib.crc32(raw[4 * i : 4 * j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 yield pd.DataFrame({"doc_id": np.frombuffer(b.doc_ids, "<i8"), "start": before[b.shard] + b.first + ends[:-1], "n_tokens": np.diff(ends), "ids_crc32": crc})
 
     return mapped(blocks, f, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped
+from .common import mapped, small_batches
 
 #: Bounds of the training sample: documents of each label, landmarks, negatives in the first round and added in a later one.
 PER_LABEL, LANDMARKS, NEGATIVES, HARD = 2000, 96, 12_000, 3_000
@@ -314,11 +314,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with `score` (0 to 1) and `predicted` (1 from 0.5): null, empty and blank texts get the score of a text without any
     word, which is low. Other columns stay; such named score or predicted are replaced. Rows are scored one by one, in place."""
 
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    small_batches(docs.sparkSession)
     return docs.withColumn("score", _column(model)(F.col(text_col))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of docs that score() predicts 0 for, unchanged."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    small_batches(docs.sparkSession)
     return docs.filter(_column(model)(F.col(text_col)) < 0.5)
