@@ -1,8 +1,8 @@
 """License scans by conditional compression.
 
 A block of text that is worded like a license notice shrinks when it is compressed with the notice as zstandard's raw dictionary.
-Blocks around words that notices hold are compressed alone and with each notice; notices are ranked by the share of the size they
-save. The best are then confirmed by an exact comparison of words: nearly all of the notice's words must stand in the block in
+Blocks around words that notices hold are compressed alone and with each notice, in lower case; notices are ranked by the share of
+the size they save. The best are then confirmed by an exact comparison of words: nearly all of the notice's words must stand in the block in
 order, and what is missing or put in between is reported.
 """
 
@@ -72,13 +72,13 @@ class Scanner:
         import zstandard
 
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
-        self.notices = {k: (_words(v), zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(v.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for k, v in notices.items()}
+        self.notices = {k: (_words(v), zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(v.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for k, v in notices.items()}
 
     def scan(self, text: str | None) -> list[tuple[int, str, float, float, str, str]]:
         """(start of the block, license, share saved, share of the notice's words found, missing words, words put in)."""
         out = []
         for start, block in blocks(text) if text else ():
-            raw = block.encode("utf-8", "surrogatepass")
+            raw = block.lower().encode("utf-8", "surrogatepass")
             alone = len(self.plain.compress(raw))
             saved = sorted(((1 - len(c.compress(raw)) / alone, k) for k, (_, c) in self.notices.items()), key=lambda x: (-x[0], x[1]))
             words, best = _words(block), None
