@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import taxonomy
+from ..functions import dates, taxonomy
 from ..functions.taxonomy import sitemap_kind
-from ..functions.text import clean_url, domain_of, normalize_title, present
+from ..functions.text import blob, clean_url, domain_of, filled, normalize_title, present, slugify
+from .normalize import with_partner
 
 #: Fixed values of the page predicates.
 JUNK_TITLES = ("archives", "events calendar", "events from", "events for", "all events", "event list", "categories", "uncategorized", "author at", "page not found", "404")
@@ -142,3 +143,22 @@ def flatten_tec(records: DataFrame) -> DataFrame:
     """[S23] Older records' venue and organiser structs as flat columns."""
     o = F.get("organizer", F.lit(0))
     return records.select("*", F.concat_ws(", ", *[F.nullif(F.col(f"venue.{c}"), F.lit("")) for c in ("venue", "address", "city", "state", "zip")]).alias("location"), o["organizer"].alias("organizer_name"), o["email"].alias("organizer_email"))
+
+
+def build_opportunities(records: DataFrame, partners: DataFrame) -> DataFrame:
+    """[S24] Opportunities from flat records(seq, org, title, description, categories, tags, start_date, end_date, start_time, end_time,
+    cost, location, registration_url, page_url, all_day, repeat_count): times are texts, and nothing is known of their origin."""
+    r = with_partner(records.withColumn("org_name", F.col("org")), partners)
+    text = blob("title", "description", "categories", "tags")
+    times = F.concat_ws(" – ", filled("start_time"), filled("end_time"))
+    series = F.when(F.col("repeat_count") > 1, F.concat(F.lit("Repeats "), F.col("repeat_count").cast("string"), F.lit(" times through "), F.coalesce(filled("end_date"), "start_date")))
+    hour = F.hour(dates.parse_iso(F.substring(dates.clock_to_iso("start_date", "start_time"), 1, 19)))
+    part = F.when(F.col("all_day"), "All Day").when(~present("start_time"), None).when(hour < 12, "Morning").when(hour < 17, "Afternoon").otherwise("Evening")
+    return r.select(
+        F.concat_ws("_", F.substring(slugify("org"), 1, 40), F.substring(slugify("title"), 1, 60), F.replace("start_date", F.lit("-"), F.lit(""))).alias("slug"),
+        "title", F.coalesce(filled("partner.name"), "org").alias("partner_name"), F.col("partner.id").alias("partner_id"), "description", F.coalesce(filled("registration_url"), "page_url").alias("link"),
+        F.concat_ws("; ", F.nullif(times, F.lit("")), series).alias("availability"), dates.clock_to_iso("start_date", "start_time").alias("date_start"), dates.clock_to_iso("end_date", "end_time").alias("date_end"),
+        taxonomy.age_grade_level(text).alias("age_grade_level"), taxonomy.cost_range("cost").alias("cost_range"), F.array_compact(F.array(part)).alias("time_of_day"),
+        F.lit(taxonomy.DEFAULT_TYPE).alias("opportunity_type"), taxonomy.areas_of_interest(text).alias("areas_of_interest"), F.coalesce(filled("location"), "partner.location", F.lit("")).alias("location"),
+        F.coalesce("partner.logo_src", F.lit("")).alias("logo_src"), "seq",
+    )

@@ -157,7 +157,7 @@ def lever(pages: DataFrame, words: Column | None = None) -> DataFrame:
     )
 
 
-def league_classes(pages: DataFrame) -> DataFrame:
+def class_rows(pages: DataFrame) -> DataFrame:
     """[A22] Rows of the class query, as the remote database returns them. Trusted: never gated."""
     r = _kept(_records(pages, CLASSES, "payload"), F.col("r.name"), F.col("r.start_at"), F.col("r.end_at"))
     return as_events(
@@ -167,7 +167,7 @@ def league_classes(pages: DataFrame) -> DataFrame:
     )
 
 
-def league_clubs(pages: DataFrame) -> DataFrame:
+def club_rows(pages: DataFrame) -> DataFrame:
     """[A22]"""
     r = _kept(_records(pages, CLUBS, "payload"), F.col("r.title"), F.col("r.date_time"))
     return as_events(
