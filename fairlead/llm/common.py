@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,40 @@ def mapped(df: DataFrame, f: Callable[[Iterator], Iterator], schema: str) -> Dat
     return df.mapInPandas(f, schema)
 
 
+def by_group(df: DataFrame, keys: list[str], f: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
+    """f for the rows of each group, as arrays by column. Groups come one after the other in sorted partitions, so small ones cost
+    little; a group has to fit a task. Keys are never null."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def stream(batches: Iterator) -> Iterator:
+        held = None
+        for b in itertools.chain(batches, [None]):
+            if b is None:
+                if held is None:
+                    return
+                b, ends = held, [len(held)]
+            else:
+                if not len(b):
+                    continue
+                b = b if held is None else pd.concat([held, b], ignore_index=True)
+                new = np.zeros(len(b), bool)
+                for k in keys:
+                    x = b[k].to_numpy()
+                    new[1:] |= x[1:] != x[:-1]
+                ends = np.flatnonzero(new).tolist()
+            columns = {c: b[c].to_numpy() for c in b.columns}
+            rows, start = [], 0
+            for end in ends:
+                rows += f({c: x[start:end] for c, x in columns.items()})
+                start = end
+            held = b.iloc[start:] if start < len(b) else None
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+
+    dealt = df.repartition(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    return mapped(dealt, stream, schema)
+
+
 class WordIds(dict):
     """A 64-bit xxhash of each word (bytes), remembered; emptied when it holds too many words."""
 

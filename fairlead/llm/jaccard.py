@@ -5,19 +5,23 @@ inverted lists. DivideSkip sets the longest lists aside, merges the short ones f
 aside, and looks those up in the long lists by binary search.
 
 One index over all documents would have to be everywhere. Blocks of it are made instead, so that any two documents that may be
-linked share a block. Documents with equal shingle sets are first put together. For the rest, sets of like size within a band are
-cut by shingle hash into k parts, where k exceeds the most shingles in which linked sets can differ by more than one; so some part
-is the same in both, and its hash is a signature that they share (PartEnum, Arasu et al. 2006). Parts with under two shingles are
-left out as long as a set has few of them (its spare parts), which keeps common shingles from joining strangers; sets with more
-emit all parts, and that a part is left out depends on the part alone, so a pair is lost in no case. Signatures are sorted once,
-and documents whose signature has the same smallest holder share its block. Copies within a batch are dropped before that shuffle.
-Blocks too big for a task are cut into chunks, and each pair of chunks is one task.
+linked share a block. Documents with equal shingle sets are first put together. For the rest, in any one order of all shingles, two
+linked sets share one of their first |X| - T + 1 (prefix filter, Chaudhuri et al. 2006). The order puts shingles below a hash limit
+first, the rarest before the others, as counted over the whole corpus; the rest follow by hash. So only a sample of the shingles is
+shuffled and counted, somewhat more than prefixes are long, and a document with enough shingles of its own has nothing but those in
+its prefix and is done. Documents that share a shingle in their prefixes are in the block named by the smallest of them. Copies
+within a batch are dropped before the shuffle. Blocks too big for a task are cut into chunks, and each pair of chunks is one task.
+
+Before whole sets are sent to a block, small sketches are: numbers of shingles by hash cell, four to a cell. The differences of two
+sketches add up to no more than what the sets differ in, so pairs that differ too much can't be linked; a block falls apart into
+groups joined by pairs that may be, and documents alone in theirs are done.
 
 In a block, documents already known to be connected are not compared again: the result is components, and links that make them.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from array import array
 from bisect import bisect_left
@@ -29,11 +33,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, broadcast_if_small, mapped, mixed, partitions, shingle_hashes, stored
+from .common import WordIds, broadcast_if_small, by_group, mapped, mixed, partitions, shingle_hashes, stored
 from .graph import components
 
 #: Shingles in a block, about; a block with more is cut into chunks of half as many.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 250_000
+#: Shingles in more sets than this count as equally frequent.
+MOST_COUNTED = 1_000
+#: Documents in a block whose sketches are compared at once.
+BLOCK_DOCS = 2_000
 #: List entries up to which short lists are merged by a heap; more are merged by sorting them at once.
 MERGED = 4096
 
@@ -57,48 +65,91 @@ def signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-class Bands:
-    """Sizes in classes [low, high] with high about low / t; a set of class c is in bands c (the lower half) and c - 1 (the
-    upper). Sets that may be linked are in the same class or in neighbouring ones, so they share a band. t as a fraction."""
+class Prefixes:
+    """Which shingles of a set come first. Likeness is num / den; shingles below `limit` are counted."""
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-
-    def classes(self, size: int) -> tuple[int, int, int]:
-        """Number, lowest and highest size of the class of a size."""
-        c, low = 0, 1
-        while True:
-            high = low * self.den // self.num
-            if size <= high:
-                return c, low, high
-            c, low = c + 1, high + 1
-
-    def parts(self, high: int) -> tuple[int, int]:
-        """Into how many parts sets of a band up to size `high` are cut, and how many of these may be spared: the sizes of sets
-        with likeness t differ in at most (|X| + |Y|) (den - num) / (den + num) shingles."""
-        differ = 2 * high * (self.den - self.num) // (self.den + self.num)
-        spare = 1 + differ // 50
-        return differ + 1 + spare, spare
-
-    def signatures(self, s: np.ndarray) -> np.ndarray:
-        c, low, high = self.classes(len(s))
-        upper = (high + 1) * self.den // self.num
-        out = []
-        for band, top in ((c, max(upper, high)), (c - 1, high)):
-            k, spare = self.parts(top)
-            with np.errstate(over="ignore"):
-                m = mixed(s ^ np.uint64((band + 7) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-                part = ((m >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-                order = np.argsort(part, kind="stable")
-                sums = np.zeros(k, np.uint64)
-                counts = np.bincount(part.astype(np.int64), minlength=k)
-                filled = np.flatnonzero(counts)
-                starts = np.cumsum(counts)[filled] - counts[filled]
-                sums[filled] = np.add.reduceat(mixed(m + np.uint64(0x51ED2701))[order], starts)
-                sign = mixed(sums * np.uint64(0x9E3779B97F4A7C15) + np.arange(k, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64((band + 2) * 0x8CB92BA72F3D8DD7 & (2**64 - 1)))
-            small = counts < 2
-            out.append(sign[~small] if small.sum() <= spare else sign)
-        return np.concatenate(out)
+        self.limit = min(2**64 - 1, 2**64 * 3 * (den - num) // (2 * den))
+
+    def length(self, size: int) -> int:
+        return size - -(-self.num * size // self.den) + 1
+
+    def first(self, s: np.ndarray) -> np.ndarray:
+        """Of a sorted set, those that are counted, and further ones if that is less than a prefix."""
+        return s[: max(self.counted(s), self.length(len(s)))]
+
+    def counted(self, s: np.ndarray) -> int:
+        return int(np.searchsorted(s, np.uint64(self.limit)))
+
+    def shared(self, size: int, counted: int, found: np.ndarray, sets: np.ndarray) -> np.ndarray:
+        """Places in `found` (shingles of first() that other sets hold too, each in `sets` sets) that are in the set's prefix."""
+        low = found < np.uint64(self.limit)
+        room = self.length(size) - (counted - int(low.sum()))  # what no other set has comes first
+        places = np.flatnonzero(low)
+        order = places[np.lexsort((found[places], sets[places]))]
+        return np.concatenate([order[: max(0, room)], np.flatnonzero(~low)])
+
+
+def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From rows sorted by sign and h1: (h1, sign, sets) of signs in several sets, with their number (MOST_COUNTED at most). State
+    between batches is one sign's rows, up to that many."""
+    held, hot = None, None  # rows of the last sign so far; a sign that is known to be in more sets
+    for b in itertools.chain(batches, [None]):
+        last = b is None
+        b = held if last else b if held is None else pd.concat([held, b], ignore_index=True)
+        held = None
+        if b is None or not len(b):
+            continue
+        b = b[~b.duplicated()]
+        x, out = b["sign"].to_numpy(), []
+        if hot is not None:
+            n = int(np.searchsorted(x, hot, side="right"))
+            out.append(b[:n].assign(sets=MOST_COUNTED))
+            b, x = b[n:], x[n:]
+            hot = None if len(b) or last else hot
+        if len(b):
+            starts = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+            size = np.diff(np.append(starts, len(x)))
+            if not last:
+                if size[-1] > MOST_COUNTED:
+                    hot = x[-1]
+                else:
+                    held = b[starts[-1] :]
+                    b, size = b[: starts[-1]], size[:-1]
+            each = np.repeat(np.minimum(size, MOST_COUNTED), size)
+            out.append(b.assign(sets=each)[each > 1])
+        out = pd.concat(out) if out else None
+        if out is not None and len(out):
+            yield out[["h1", "sign", "sets"]]
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles fall into each of a power of two of hash cells (255 at most), about four to a cell. Cells are by leading
+    bits, so that neighbouring cells make the cell of a sketch half as long."""
+    cells = 1 << max(4, (len(s) // 4).bit_length() - 1)
+    at = (mixed(s) >> np.uint64(64 - cells.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=cells), 255).astype(np.uint8).tobytes()
+
+
+def feasible_groups(sizes: np.ndarray, sketches: list[bytes], num: int, den: int) -> np.ndarray:
+    """A label for each set: sets joined by pairs that their sizes and sketches allow to be linked have the same one."""
+    order = np.argsort(sizes, kind="stable")
+    label = np.arange(len(sizes))
+    lengths = np.array([len(x) for x in sketches])
+    for cells in np.unique(lengths):
+        mine = order[(lengths[order] == cells) | (lengths[order] == 2 * cells)]  # linked sets' cells differ by a factor of two at most
+        rows = np.stack([np.frombuffer(sketches[i], np.uint8).reshape(cells, -1).sum(axis=1, dtype=np.int16) for i in mine])
+        n = sizes[mine]
+        low = np.searchsorted(n, -(-num * n // den))
+        for k in range(1, len(mine)):
+            if low[k] < k:
+                differ = np.abs(rows[low[k] : k] - rows[k]).sum(axis=1, dtype=np.int64)
+                near = mine[low[k] : k][differ <= (n[low[k] : k] + n[k]) * (den - num) // (den + num)]
+                old = np.unique(label[near])
+                if len(old) and (len(old) > 1 or old[0] != label[mine[k]]):
+                    label[np.isin(label, old) | (label == label[mine[k]])] = old[0]
+    return label
 
 
 def link_block(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -162,41 +213,45 @@ def link_block(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     return links
 
 
+def _in_chunks(rows: DataFrame, most: int) -> DataFrame:
+    """rows(h1, total, ...) with the pair of chunks (i, j) that each is in: (0, 0) where its group's total is at most `most`; else
+    the group is cut by h1 into chunks of half as much, and each row goes to every pair with its chunk."""
+    chunks = F.when(F.col("total") <= most, 1).otherwise(F.ceil(F.col("total") / (most // 2))).cast("int")
+    cut = rows.withColumn("chunks", chunks).withColumn("mine", F.pmod(F.xxhash64("h1"), F.col("chunks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j")))
+    return cut.withColumn("at", F.explode(pairs)).select("*", "at.i", "at.j").drop("at", "chunks", "mine", "total")
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id) for each document: its set's size and the smallest id that links reach.
 
     Documents link when den * |both| >= num * |either| for their sets of n-word shingles. Null texts and texts without words have
     size 0 and are their own component. Rows with equal ids are one node. A null id is its own component, null. Equal sets share
     a component whatever the size of the group; no list of partners is cut."""
-    bands = Bands(num, den)
+    prefixes = Prefixes(num, den)
 
     def pass1(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordIds()
         for b in batches:
-            sets = [shingle_set(t, n, known) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"].astype("Int64"), "n": list(map(len, sets)), "h1": [signed(_salted(s, 1)) for s in sets], "h2": [signed(_salted(s, 2)) for s in sets]})
-
-    def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordIds()
-        for b in batches:
-            seen: dict[int, np.ndarray] = {}
+            seen, rows = set(), []
             for t in b["text"]:
                 s = shingle_set(t, n, known)
-                if len(s) and (h := signed(_salted(s, 1))) not in seen:
-                    seen[h] = bands.signatures(s).view(np.int64)
-            if seen:
-                yield pd.DataFrame({"sign": np.concatenate(list(seen.values())), "h1": np.repeat(np.array(list(seen), np.int64), [len(x) for x in seen.values()])})
+                h = signed(_salted(s, 1))
+                first = len(s) > 0 and h not in seen
+                seen.add(h)
+                rows.append((len(s), h, signed(_salted(s, 2)), sketch(s) if first else None, prefixes.counted(s), prefixes.first(s).view(np.int64) if first else None))
+            yield pd.concat([b[["id"]].astype("Int64"), pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "counted", "signs"])], axis=1)
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """From rows sorted by sign and h1: (block, h1) of signatures with several sets; block is the smallest of them."""
-        sign, first, told = None, None, False  # of the signature at the end of the last batch
+        """From rows sorted by sign and h1: (block, h1) of signs with several sets; block is the smallest of them."""
+        sign, first, told = None, None, False  # of the sign at the end of the last batch
         for b in batches:
             x, h = b["sign"].to_numpy(), b["h1"].to_numpy()
             new = np.append(True, x[1:] != x[:-1])
             if sign is not None and len(x) and x[0] == sign:
                 new[0] = False
             starts = np.flatnonzero(new)
-            group = np.cumsum(new)  # 0: still the last batch's signature
+            group = np.cumsum(new)  # 0: still the last batch's sign
             block = np.concatenate([[first if first is not None else 0], h[starts]])[group]
             other = h != block
             many = np.zeros(len(starts) + 1, bool)
@@ -212,12 +267,36 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
                 yield out.drop_duplicates()
 
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = stored(mapped(base, pass1, "id long, n long, h1 long, h2 long"), "shingles")
+    sets = stored(mapped(base, pass1, "id long, n long, h1 long, h2 long, sketch binary, counted long, signs array<long>"), "shingles")
     classes = sets.filter("n > 0 and id is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"))
 
-    signs = mapped(base.filter("id is not null").select("text"), signatures, "sign long, h1 long")
-    signs = signs.repartition(partitions(docs.sparkSession), "sign").sortWithinPartitions("sign", "h1")
-    members = stored(mapped(signs, shared, "block long, h1 long").distinct(), "block-members")
+    light = stored(sets.filter("id is not null and sketch is not null").select("h1", "n", "counted", "sketch").dropDuplicates(["h1"]), "block-sketches")
+
+    def by_sign(rows: DataFrame) -> DataFrame:
+        return rows.select("sign", "h1").repartition(partitions(docs.sparkSession), "sign").sortWithinPartitions("sign", "h1")
+
+    def in_prefix(g: dict[str, np.ndarray]) -> list[tuple]:
+        found, at = np.unique(g["sign"].astype(np.int64), return_index=True)  # a batch's end may tell a frequent one twice
+        take = prefixes.shared(int(g["n"][0]), int(g["counted"][0]), found.view(np.uint64), g["sets"][at])
+        return [(x, int(g["h1"][0])) for x in found[take].tolist()]
+
+    several = mapped(by_sign(sets.filter("id is not null").select(F.explode("signs").alias("sign"), "h1")), counts, "h1 long, sign long, sets long")
+    firsts = by_group(several.join(light.select("h1", "n", "counted"), "h1"), ["h1"], in_prefix, "sign long, h1 long")
+    members = stored(mapped(by_sign(firsts), shared, "block long, h1 long").distinct(), "block-members")
+
+    # Documents of a block that may be linked at all, by their sketches.
+    counted = members.groupBy("block").agg(F.count("*").alias("total"))
+    placed = _in_chunks(members.join(counted, "block"), BLOCK_DOCS).join(light.drop("counted"), "h1")
+
+    def sift(g: dict[str, np.ndarray]) -> list[tuple]:
+        if len(g["h1"]) < 2:
+            return []
+        label = feasible_groups(g["n"].astype(np.int64), list(g["sketch"]), num, den)
+        many = np.bincount(label)[label] > 1
+        # A group is named by its block's chunks and one of its members.
+        return [(int(g["block"][0]), int(g["i"][0]) << 32 | int(g["j"][0]), int(g["h1"][x]), int(h), int(m)) for x, h, m in zip(label[many], g["h1"][many], g["n"][many])]
+
+    members = stored(by_group(placed, ["block", "i", "j"], sift, "block long, chunk long, part long, h1 long, size long"), "block-parts")
 
     # The sets of these documents are made anew from the texts, one document for each set.
     reps = stored(classes.join(members.select("h1").distinct(), "h1").select("rep", "h1"), "block-reps")
@@ -231,24 +310,19 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
 
     again = base.join(broadcast_if_small(reps), F.col("id") == F.col("rep")).select("rep", "h1", "text")
     bodies = stored(mapped(again, pass2, "rep long, h1 long, size long, body binary").dropDuplicates(["rep", "h1"]), "block-sets")
-    sizes = members.join(bodies.select("h1", "size"), "h1").groupBy("block").agg(F.sum("size").alias("total"))
-    chunks = F.when(F.col("total") <= BLOCK_SHINGLES, 1).otherwise(F.ceil(F.col("total") / (BLOCK_SHINGLES // 2))).cast("int")
-    plan = members.join(sizes.withColumn("chunks", chunks), "block").withColumn("mine", F.pmod(F.xxhash64("h1"), F.col("chunks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j")))
-    placed = plan.select("block", "h1", F.explode(pairs).alias("at"))
-    work = placed.join(bodies, "h1").select("block", "at.i", "at.j", "rep", "body")
+    counted = members.groupBy("block", "chunk", "part").agg(F.sum("size").alias("total"))
+    work = _in_chunks(members.join(counted, ["block", "chunk", "part"]), BLOCK_SHINGLES).join(bodies.select("h1", "rep", "body"), "h1")
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep")
-        got = link_block([np.frombuffer(x, "<u8") for x in pdf["body"]], num, den)
-        ids = pdf["rep"].tolist()
-        return pd.DataFrame([(ids[a], ids[b]) for a, b in got], columns=["a", "b"]).astype("int64")
+    def search(g: dict[str, np.ndarray]) -> list[tuple]:
+        order = np.argsort(g["rep"], kind="stable")
+        got = link_block([np.frombuffer(g["body"][k], "<u8") for k in order], num, den)
+        return [(int(g["rep"][order[a]]), int(g["rep"][order[b]])) for a, b in got]
 
-    links = stored(work.groupBy("block", "i", "j").applyInPandas(search, "a long, b long"), "jaccard-links")
+    links = stored(by_group(work, ["block", "chunk", "part", "i", "j"], search, "a long, b long"), "jaccard-links")
     found = components(links)
     named = classes.join(found, classes["rep"] == found["node"], "left").select("h1", "h2", F.coalesce("component", "rep").alias("component_id"))
     # Sets (all but one of a group of copies leave no row in `named`) find theirs by their hash.
-    out = sets.join(named.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
+    out = sets.select("id", "n", "h1", "h2").join(named.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 

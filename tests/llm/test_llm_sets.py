@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,9 +162,10 @@ def components_by_loop(rows, n, num, den):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("n,num,den,block", [(3, 90, 100, 1_000_000), (5, 80, 100, 1_000_000), (3, 90, 100, 300)])
-def test_op7_against_a_loop(spark, monkeypatch, n, num, den, block):
+@pytest.mark.parametrize("n,num,den,block,docs", [(3, 90, 100, 1_000_000, 2_000), (5, 80, 100, 1_000_000, 2_000), (3, 90, 100, 300, 4)])
+def test_op7_against_a_loop(spark, monkeypatch, n, num, den, block, docs):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", docs)
     rows = near_copies(8, 160, 2000) + [(30_000 + i, "a b c d e f g h i j k l m n o p q r s t u v w x y " + "z" * (i % 4), "s") for i in range(12)]
     got = jaccard.jaccard_components(spark.createDataFrame(rows, DOCS).repartition(5), n, num, den).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_loop(rows, n, num, den)
@@ -198,17 +200,44 @@ def test_divide_skip_finds_all_components():
         assert same(parent) == same(mine)
 
 
-def test_linked_sets_share_a_signature():
+def test_linked_sets_share_a_shingle_of_their_prefixes(monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_COUNTED", 6)
     rng = random.Random(11)
-    for num, den in ((90, 100), (80, 100)):
-        bands = jaccard.Bands(num, den)
-        for _ in range(400):
-            n = rng.randint(1, 400)
-            x = {rng.getrandbits(63) for _ in range(n)}
-            y = set(rng.sample(sorted(x), n - rng.randint(0, n // 8))) | {rng.getrandbits(63) for _ in range(rng.randint(0, n // 8))}
-            if 100 * len(x & y) >= num * len(x | y):
-                a, b = (bands.signatures(np.array(sorted(s), np.uint64)) for s in (x, y))
-                assert set(a.tolist()) & set(b.tolist()), (n, len(x & y))
+    for num in (90, 80):
+        prefixes, sets = jaccard.Prefixes(num, 100), []
+        for _ in range(300):
+            x = {rng.getrandbits(64) for _ in range(rng.randint(1, 150))} if not sets or rng.random() < 0.3 else set(rng.choice(sets))
+            sets.append(set(rng.sample(sorted(x), len(x) - rng.randint(0, len(x) // 10))) | {rng.getrandbits(64) for _ in range(rng.randint(0, len(x) // 10))})
+        arrays = [np.array(sorted(s), np.uint64) for s in sets]
+        rows = pd.DataFrame([(x, i) for i, a in enumerate(arrays) for x in prefixes.first(a).view(np.int64).tolist()] * 2, columns=["sign", "h1"]).sort_values(["sign", "h1"], ignore_index=True)
+        got = pd.concat(jaccard.counts(rows[k : k + 7] for k in range(0, len(rows), 7))).drop_duplicates()
+        want = rows.drop_duplicates().groupby("sign").h1.count()
+        assert (got.set_index("sign").sets == want[got.sign].clip(upper=6)).all() and len(got) == want[want > 1].sum()
+        taken = {}
+        for i, g in got.groupby("h1"):
+            sign = g.sign.to_numpy()
+            taken[i] = set(sign[prefixes.shared(len(arrays[i]), prefixes.counted(arrays[i]), sign.view(np.uint64), g.sets.to_numpy())].tolist())
+        for a in range(300):
+            for b in range(a):
+                if sets[a] != sets[b] and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                    assert taken.get(a, set()) & taken.get(b, set())
+
+
+def test_sketches_part_no_linked_sets():
+    rng = random.Random(12)
+    for num in (90, 80):
+        sets = []
+        for _ in range(60):
+            x = {rng.getrandbits(63) for _ in range(rng.randint(1, 300))} if not sets or rng.random() < 0.4 else set(rng.choice(sets))
+            y = set(rng.sample(sorted(x), len(x) - rng.randint(0, len(x) // 8))) | {rng.getrandbits(63) for _ in range(rng.randint(0, len(x) // 8))}
+            sets.append(y)
+        arrays = [np.array(sorted(s), np.uint64) for s in sets]
+        label = jaccard.feasible_groups(np.array([len(s) for s in sets]), [jaccard.sketch(a) for a in arrays], num, 100)
+        assert len(set(label.tolist())) > 5
+        for a in range(60):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                    assert label[a] == label[b]
 
 
 def test_op7_on_odd_documents(spark):
