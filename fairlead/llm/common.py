@@ -117,7 +117,7 @@ def by_group(df: DataFrame, keys: list[str], f: Callable[[dict[str, np.ndarray]]
 class WordIds(dict):
     """A 64-bit xxhash of each word (bytes), remembered; emptied when it holds too many words."""
 
-    def __init__(self, most: int = 1_500_000):
+    def __init__(self, most: int = 400_000):
         super().__init__()
         self.most = most
 

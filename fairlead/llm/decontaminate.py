@@ -138,7 +138,7 @@ class Index:
 class Terms(dict):
     """Words as they stand in texts -> term of the index, or -1; -2 for what is no word at all."""
 
-    def __init__(self, vocabulary: dict[str, int], most: int = 500_000):
+    def __init__(self, vocabulary: dict[str, int], most: int = 250_000):
         super().__init__()
         self.vocabulary, self.most = vocabulary, most
 

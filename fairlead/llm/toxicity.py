@@ -154,7 +154,7 @@ class Model:
 class Scorer:
     """Scores whole texts; remembers words' margins, and forgets them all when they are too many."""
 
-    def __init__(self, model: Model, most: int = 1_000_000):
+    def __init__(self, model: Model, most: int = 350_000):
         self.model, self.most, self.known = model, most, {}
 
     def features(self, bags: list[set[str]]) -> np.ndarray:
