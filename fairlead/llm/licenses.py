@@ -35,11 +35,14 @@ NOTICES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
     "Proprietary": "Copyright. All rights reserved.",
+    "Proprietary-short": "All rights reserved.",
 }
 #: Every notice holds one of these (lower case); text around them is what is looked at.
 CUES = ("licens", "permission", "redistribut", "public domain", "all rights reserved")
 #: How many of the best-ranked notices are compared word by word, and the share of a notice's words that must be there.
 RANKED, COVERED = 3, 0.9
+#: Of a notice that begins with "copyright", so many words after it (years and the holder) don't count as put in.
+HOLDER = 12
 _CUE = re.compile("|".join(CUES))
 _WORD = re.compile(r"[\w.+-]*\w")
 
@@ -89,8 +92,12 @@ class Scanner:
                 if share <= 0 or not found:
                     continue
                 inside = words[match[0].b : match[-1].b + match[-1].size]
+                free = 0
+                if notice[0] == "copyright" and match[0].a == 0:
+                    next_ = match[0].b + 1 if match[0].size > 1 or len(match) < 2 else match[1].b
+                    free = min(HOLDER, next_ - match[0].b - 1)
                 # Words put in count against a notice too, or a short one would be found spread over any long block.
-                if found >= COVERED * len(notice) and found >= COVERED * len(inside):
+                if found >= COVERED * len(notice) and found >= COVERED * (len(inside) - free):
                     held = {m.a + i for m in match for i in range(m.size)}
                     used = {m.b + i for m in match for i in range(m.size)}
                     missing = " ".join(w for i, w in enumerate(notice) if i not in held)

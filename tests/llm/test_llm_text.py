@@ -265,6 +265,22 @@ def test_licenses(spark):
     assert all(any(c in t.lower() for c in licenses.CUES) for t in licenses.NOTICES.values())
 
 
+def test_all_rights_reserved_with_and_without_a_copyright_line(spark):
+    rows = ["x\nAll rights reserved.\ny", "Copyright. All rights reserved.", "Copyright 2024 Acme. All rights reserved.", "Copyright (c) 2019-2024 The Acme Company of Little Town and others. All Rights Reserved.", "all seats reserved"]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame([(i, t, "s") for i, t in enumerate(rows)], DOCS)).collect()}
+    assert {i: r["license"] for i, r in got.items()} == {0: "Proprietary-short", 1: "Proprietary", 2: "Proprietary", 3: "Proprietary"}
+    assert (got[2]["covered"], got[2]["missing"], got[2]["extra"]) == (1.0, "", "2024 acme")
+
+
+def test_every_notice_line_of_the_tables_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(F.lower("line").rlike("|".join(licenses.CUES)))
+    want = {(r["doc_id"], r["line"]) for r in lines.collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.join(lines.select("doc_id").distinct(), "doc_id").collect()}
+    got = {(r["doc_id"], texts[r["doc_id"]][r["start"] :].split("\n")[0]) for r in licenses.scan(docs).collect()}
+    assert len(want) > 300 and got == want
+
+
 def test_registered():
     assert set(queries.oracle_sql()) <= set(queries.queries()) and json.dumps(sorted(queries.oracle_sql()))
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
