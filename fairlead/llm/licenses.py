@@ -2,14 +2,15 @@
 
 A block of text that is worded like a license notice shrinks when it is compressed with the notice as zstandard's raw dictionary.
 Blocks around words that notices hold are compressed alone and with each notice, in lower case; notices are ranked by the share of
-the size they save. The best are then confirmed by an exact comparison of words: nearly all of the notice's words must stand in the block in
-order, and what is missing or put in between is reported.
+the size they save. All are then compared word by word, as on a long block long notices save more than a short one that is there:
+nearly all of a notice's words must stand in the block in order, and what is missing or put in between is reported.
 """
 
 from __future__ import annotations
 
-import difflib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,8 +40,8 @@ NOTICES = {
 }
 #: Every notice holds one of these (lower case); text around them is what is looked at.
 CUES = ("licens", "permission", "redistribut", "public domain", "all rights reserved")
-#: How many of the best-ranked notices are compared word by word, and the share of a notice's words that must be there.
-RANKED, COVERED = 3, 0.9
+#: The share of a notice's words that must be there.
+COVERED = 0.9
 #: Of a notice that begins with "copyright", so many words after it (years and the holder) don't count as put in.
 HOLDER = 12
 _CUE = re.compile("|".join(CUES))
@@ -70,6 +71,59 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _reach(notice: list[str]) -> int:
+    """The most words that a confirmed place of a notice spans, less those of years and a holder."""
+    return int(len(notice) / COVERED)
+
+
+def _starts(notice: list[str], words: list[str]) -> Iterator[int]:
+    """Where in words the notice may begin: all places but those where too few of its words follow."""
+    reach = _reach(notice) + (HOLDER if notice[0] == "copyright" else 0)
+    least = math.ceil(COVERED * len(notice))
+    heads, wanted = set(notice[: len(notice) - least + 1]), Counter(notice)
+    for s, w in enumerate(words):
+        if w in heads and (wanted & Counter(words[s : s + reach])).total() >= least:
+            yield s
+
+
+def _aligned(notice: list[str], words: list[str], s: int) -> list[tuple[int, int]] | None:
+    """Pairs of places (in notice, in words) that tell the longest common subsequence of the notice and words from s on for which
+    nearly all of the notice is found, with few words put in; None if there is none."""
+    best = None
+    for gap in range(HOLDER + 1 if notice[0] == words[s] == "copyright" else 1):
+        at = [s, *range(s + 1 + gap, min(len(words), s + gap + _reach(notice)))]
+        rows = [[0] * (len(notice) + 1)]
+        for j, p in enumerate(at):
+            w, above, row = words[p], rows[-1], [0]
+            for i, x in enumerate(notice):
+                row.append(above[i] + 1 if x == w else max(above[i + 1], row[-1]))
+            rows.append(row)
+            found = row[-1]
+            # Words put in count against a notice too, or a short one would be found spread over any long block.
+            if found >= COVERED * len(notice) and found >= COVERED * (j + 1) and (best is None or (found, -j) > best[:2]):
+                best = (found, -j, at, rows)
+    if best is None:
+        return None
+    j, at, rows = 1 - best[1], *best[2:]
+    i, pairs = len(notice), []
+    while i and j:
+        if notice[i - 1] == words[at[j - 1]]:
+            i, j = i - 1, j - 1
+            pairs.append((i, at[j]))
+        elif rows[j - 1][i] >= rows[j][i - 1]:
+            j -= 1
+        else:
+            i -= 1
+    return pairs[::-1]
+
+
+def _report(notice: list[str], words: list[str], pairs: list[tuple[int, int]]) -> tuple[float, str, str]:
+    """(share of the notice's words found, missing words, words put in)."""
+    held, used = map(set, zip(*pairs))
+    extra = " ".join(words[p] for p in range(pairs[0][1], pairs[-1][1]) if p not in used)
+    return len(pairs) / len(notice), " ".join(w for i, w in enumerate(notice) if i not in held), extra
+
+
 class Scanner:
     def __init__(self, notices: dict[str, str] = NOTICES):
         import zstandard
@@ -85,25 +139,12 @@ class Scanner:
             alone = len(self.plain.compress(raw))
             saved = sorted(((1 - len(c.compress(raw)) / alone, k) for k, (_, c) in self.notices.items()), key=lambda x: (-x[0], x[1]))
             words, best = _words(block), None
-            for share, k in saved[:RANKED]:
+            for share, k in saved:
                 notice = self.notices[k][0]
-                match = [m for m in difflib.SequenceMatcher(None, notice, words, autojunk=False).get_matching_blocks() if m.size]
-                found = sum(m.size for m in match)
-                if share <= 0 or not found:
-                    continue
-                inside = words[match[0].b : match[-1].b + match[-1].size]
-                free = 0
-                if notice[0] == "copyright" and match[0].a == 0:
-                    next_ = match[0].b + 1 if match[0].size > 1 or len(match) < 2 else match[1].b
-                    free = min(HOLDER, next_ - match[0].b - 1)
-                # Words put in count against a notice too, or a short one would be found spread over any long block.
-                if found >= COVERED * len(notice) and found >= COVERED * (len(inside) - free):
-                    held = {m.a + i for m in match for i in range(m.size)}
-                    used = {m.b + i for m in match for i in range(m.size)}
-                    missing = " ".join(w for i, w in enumerate(notice) if i not in held)
-                    extra = " ".join(words[i] for i in range(match[0].b, match[0].b + len(inside)) if i not in used)
-                    got = (start, k, share, found / len(notice), missing, extra, found)
-                    best = got if best is None or got[-1] > best[-1] else best
+                for s in _starts(notice, words):
+                    got = _aligned(notice, words, s)
+                    if got and (best is None or len(got) > best[-1]):
+                        best = (start, k, share, *_report(notice, words, got), len(got))
             if best:
                 out.append(best[:-1])
         return out

@@ -281,6 +281,20 @@ def test_every_notice_line_of_the_tables_is_found(spark):
     assert len(want) > 300 and got == want
 
 
+PROSE = (
+    "The following conditions apply to any person who wants to use the software, with or without modification, and to distribute it in source or binary form to the public. "
+    "You may copy, modify, merge and publish the work for any purpose, including commercial use, without charge and without limitation, subject to the terms of this agreement and of the general rules of the house. "
+    "The files associated with this document are provided in the hope that they will be useful, and you can obtain a copy of the documentation at the front desk, where either version of the form is free of charge. "
+)
+
+
+def test_each_notice_is_found_in_a_long_line_of_prose():
+    scanner = licenses.Scanner()
+    for name, notice in licenses.NOTICES.items():
+        assert [g[1] for g in scanner.scan(f"{PROSE}{notice} {PROSE}{PROSE}")] == [name]
+    assert scanner.scan(PROSE * 3) == []
+
+
 def test_registered():
     assert set(queries.oracle_sql()) <= set(queries.queries()) and json.dumps(sorted(queries.oracle_sql()))
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
