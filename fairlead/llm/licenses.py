@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
-A block of text that is worded like a license notice shrinks when it is compressed with the notice as zstandard's raw dictionary.
-Blocks around words that notices hold are compressed alone and with each notice, in lower case; notices are ranked by the share of
-the size they save. All are then compared word by word, as on a long block long notices save more than a short one that is there:
-nearly all of a notice's words must stand in the block in order, and what is missing or put in between is reported.
+A stretch of text that is worded like a license notice shrinks when it is compressed with the notice as zstandard's raw dictionary.
+Blocks around words that notices hold are compared word by word with each notice, as on a long block long notices save more than a
+short one that is there: nearly all of a notice's words must stand in order, and what is missing or put in between is reported. A
+confirmed stretch is compressed alone and with its notice, in lower case; the share of the size saved decides between notices that
+fit it equally well.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -86,12 +88,12 @@ def _starts(notice: list[str], words: list[str]) -> Iterator[int]:
             yield s
 
 
-def _aligned(notice: list[str], words: list[str], s: int) -> list[tuple[int, int]] | None:
-    """Pairs of places (in notice, in words) that tell the longest common subsequence of the notice and words from s on for which
+def _aligned(notice: list[str], words: list[str], s: int, end: int) -> list[tuple[int, int]] | None:
+    """Pairs of places (in notice, in words) that tell the longest common subsequence of the notice and words[s:end] for which
     nearly all of the notice is found, with few words put in; None if there is none."""
     best = None
     for gap in range(HOLDER + 1 if notice[0] == words[s] == "copyright" else 1):
-        at = [s, *range(s + 1 + gap, min(len(words), s + gap + _reach(notice)))]
+        at = [s, *range(s + 1 + gap, min(end, s + gap + _reach(notice)))]
         rows = [[0] * (len(notice) + 1)]
         for j, p in enumerate(at):
             w, above, row = words[p], rows[-1], [0]
@@ -131,28 +133,45 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
         self.notices = {k: (_words(v), zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(v.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for k, v in notices.items()}
 
+    def saved(self, name: str, stretch: str) -> float:
+        raw = stretch.lower().encode("utf-8", "surrogatepass")
+        return 1 - len(self.notices[name][1].compress(raw)) / len(self.plain.compress(raw))
+
     def scan(self, text: str | None) -> list[tuple[int, str, float, float, str, str]]:
-        """(start of the block, license, share saved, share of the notice's words found, missing words, words put in)."""
+        """(start, license, share saved, share of the notice's words found, missing words, words put in) of each notice, by start.
+
+        The place with most words found goes first, then the one with fewest missing and put in, then the one that saves most; its
+        words are then masked, and the others have to do with the words between."""
         out = []
         for start, block in blocks(text) if text else ():
-            raw = block.lower().encode("utf-8", "surrogatepass")
-            alone = len(self.plain.compress(raw))
-            saved = sorted(((1 - len(c.compress(raw)) / alone, k) for k, (_, c) in self.notices.items()), key=lambda x: (-x[0], x[1]))
-            words, best = _words(block), None
-            for share, k in saved:
-                notice = self.notices[k][0]
+            at = [(m.start(), m.end()) for m in _WORD.finditer(block)]
+            words, places = [block[b:e].lower() for b, e in at], []
+
+            def consider(k: str, s: int, end: int) -> None:
+                if pairs := _aligned(self.notices[k][0], words, s, end):
+                    first, last = pairs[0][1], pairs[-1][1]
+                    amiss = len(self.notices[k][0]) + last + 1 - first - 2 * len(pairs)
+                    heappush(places, (-len(pairs), amiss, -self.saved(k, block[at[first][0] : at[last][1]]), s, k, pairs))
+
+            for k, (notice, _) in self.notices.items():
                 for s in _starts(notice, words):
-                    got = _aligned(notice, words, s)
-                    if got and (best is None or len(got) > best[-1]):
-                        best = (start, k, share, *_report(notice, words, got), len(got))
-            if best:
-                out.append(best[:-1])
-        return out
+                    consider(k, s, len(words))
+            masked = bytearray(len(words))
+            while places:
+                _, _, less, s, k, pairs = heappop(places)
+                first, last = pairs[0][1], pairs[-1][1] + 1
+                if (end := masked.find(1, s, last)) >= 0:
+                    if end > s:
+                        consider(k, s, end)
+                    continue
+                masked[first:last] = b"\1" * (last - first)
+                out.append((start + at[first][0], k, -less, *_report(self.notices[k][0], words, pairs)))
+        return sorted(out)
 
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """(doc_id, start, license, saved, covered, missing, extra): a row for each block that is confirmed as a notice; start in code
-    points. Null and empty texts have none. Every row of docs is scanned whole and for itself, in place."""
+    """(doc_id, start, license, saved, covered, missing, extra): a row for each place that is confirmed as a notice; start in code
+    points. Places don't overlap, and a notice that is there several times has as many rows. Null and empty texts have none. Every row of docs is scanned whole and for itself, in place."""
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = Scanner(notices)

@@ -295,6 +295,20 @@ def test_each_notice_is_found_in_a_long_line_of_prose():
     assert scanner.scan(PROSE * 3) == []
 
 
+def test_all_notices_of_a_block_are_reported():
+    scanner, (mit, apache, kept) = licenses.Scanner(), ("Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "All rights reserved.")
+    for gap in ("\n", " ", " and ", f" {PROSE[:300]} "):
+        text = gap.join(["x", mit, apache, mit, kept, mit])
+        got = [(g[0], g[1]) for g in scanner.scan(text)]
+        ends = [len(gap.join(["x", mit, apache, mit, kept, mit][:n])) + len(gap) for n in range(1, 6)]
+        assert got == list(zip(ends, ["MIT", "Apache-2.0", "MIT", "Proprietary-short", "MIT"]))
+    every = [g[1] for g in scanner.scan("\n".join([*licenses.NOTICES.values()] * 3))]
+    assert every == [*licenses.NOTICES] * 3
+    assert [g[1] for g in scanner.scan(licenses.NOTICES["Apache-2.0-text"])] == ["Apache-2.0-text"]
+    edited = licenses.NOTICES["GPL-3.0"].replace("General Public", "General Free Public")
+    assert [(g[1], g[5]) for g in scanner.scan(f"{edited} {edited}\n{edited}")] == [("GPL-3.0", "free")] * 3
+
+
 def test_registered():
     assert set(queries.oracle_sql()) <= set(queries.queries()) and json.dumps(sorted(queries.oracle_sql()))
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
