@@ -234,11 +234,12 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
         known = WordIds()
         for b in batches:
             seen, rows = set(), []
-            for t in b["text"]:
+            for t, named in zip(b["text"], b["id"].notna()):
                 s = shingle_set(t, n, known)
                 h = signed(_salted(s, 1))
-                first = len(s) > 0 and h not in seen
-                seen.add(h)
+                first = named and len(s) > 0 and h not in seen  # rows without an id link to nothing, so they stand for no copy
+                if first:
+                    seen.add(h)
                 rows.append((len(s), h, signed(_salted(s, 2)), sketch(s) if first else None, prefixes.counted(s), prefixes.first(s).view(np.int64) if first else None))
             yield pd.concat([b[["id"]].astype("Int64"), pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "counted", "signs"])], axis=1)
 

@@ -247,6 +247,15 @@ def test_op7_on_odd_documents(spark):
     assert jaccard.keep_one(odd(spark)).columns == odd(spark).columns
 
 
+def test_op7_null_ids_ahead_of_near_copies(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text, "s"), (7, text, "s"), (None, text + " more", "s"), (9, text + " more", "s"), (8, "other words here", "s")]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    got = jaccard.jaccard_components(docs).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=str) == sorted([(None, None), (None, None), (7, 7), (9, 7), (8, 8)], key=str)
+    assert sorted((r["doc_id"] for r in jaccard.keep_one(docs).collect()), key=str) == sorted([None, None, 7, 8], key=str)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 60), (60, 80), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
