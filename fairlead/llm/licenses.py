@@ -1,9 +1,9 @@
 """License scans by conditional compression.
 
 A stretch of text that is worded like a license notice shrinks when it is compressed with the notice as zstandard's raw dictionary.
-Blocks around words that notices hold are compared word by word with each notice, as on a long block long notices save more than a
-short one that is there: nearly all of a notice's words must stand in order, and what is missing or put in between is reported. A
-confirmed stretch is compressed alone and with its notice, in lower case; the share of the size saved decides between notices that
+Whole texts are compared word by word with each notice, as on a long stretch long notices save more than a short one that is there:
+nearly all of a notice's words must stand in order, and what is missing or put in between is reported. Places to compare are those
+around cues: so many words of each notice that no confirmed place can be without all of them. A confirmed stretch is compressed alone and with its notice, in lower case; the share of the size saved decides between notices that
 fit it equally well.
 """
 
@@ -40,37 +40,17 @@ NOTICES = {
     "Proprietary": "Copyright. All rights reserved.",
     "Proprietary-short": "All rights reserved.",
 }
-#: Every notice holds one of these (lower case); text around them is what is looked at.
+#: Words with one of these (lower case) are preferred as cues of a notice, as they are rare elsewhere.
 CUES = ("licens", "permission", "redistribut", "public domain", "all rights reserved")
 #: The share of a notice's words that must be there.
 COVERED = 0.9
 #: Of a notice that begins with "copyright", so many words after it (years and the holder) don't count as put in.
 HOLDER = 12
-_CUE = re.compile("|".join(CUES))
 _WORD = re.compile(r"[\w.+-]*\w")
 
 
-def blocks(text: str, before: int = 300, after: int = 700) -> Iterator[tuple[int, str]]:
-    """(start, block) of the stretches around cues: whole lines, of long lines so many characters before and after. Overlapping
-    stretches are one, so a long notice over several lines is one block."""
-    spans: list[list[int]] = []
-    low = text.lower()
-    if len(low) != len(text):  # a letter that grows in lower case: places would shift
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    for m in _CUE.finditer(low):
-        start = max(text.rfind("\n", 0, m.start()) + 1, m.start() - before)
-        end = text.find("\n", m.end())
-        end = min(end if end >= 0 else len(text), m.end() + after)
-        if spans and start <= spans[-1][1] + 1:
-            spans[-1][1] = max(spans[-1][1], end)
-        else:
-            spans.append([start, end])
-    for s, e in spans:
-        yield s, text[s:e]
-
-
 def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 def _reach(notice: list[str]) -> int:
@@ -78,14 +58,28 @@ def _reach(notice: list[str]) -> int:
     return int(len(notice) / COVERED)
 
 
-def _starts(notice: list[str], words: list[str]) -> Iterator[int]:
-    """Where in words the notice may begin: all places but those where too few of its words follow."""
+def _cues(notice: list[str]) -> list[str]:
+    """Words of a notice of which every confirmed place holds one: as many as make up more than may be missing."""
+    spare, count = len(notice) - math.ceil(COVERED * len(notice)), Counter(notice)
+    out: list[str] = []
+    for w in sorted(count, key=lambda w: (not any(c in w for c in CUES), -len(w), w)):
+        if sum(count[x] for x in out) > spare:
+            break
+        out.append(w)
+    return out
+
+
+def _starts(notice: list[str], words: list[str], cues: list[int]) -> Iterator[int]:
+    """Where in words the notice may begin, given the places of its cues: near one of them, and not where too few of its words
+    follow."""
     reach = _reach(notice) + (HOLDER if notice[0] == "copyright" else 0)
     least = math.ceil(COVERED * len(notice))
-    heads, wanted = set(notice[: len(notice) - least + 1]), Counter(notice)
-    for s, w in enumerate(words):
-        if w in heads and (wanted & Counter(words[s : s + reach])).total() >= least:
-            yield s
+    heads, wanted, after = set(notice[: len(notice) - least + 1]), Counter(notice), 0
+    for cue in cues:
+        for s in range(max(after, cue - reach + 1), cue + 1):
+            if words[s] in heads and (wanted & Counter(words[s : s + reach])).total() >= least:
+                yield s
+        after = cue + 1
 
 
 def _aligned(notice: list[str], words: list[str], s: int, end: int) -> list[tuple[int, int]] | None:
@@ -131,7 +125,11 @@ class Scanner:
         import zstandard
 
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
-        self.notices = {k: (_words(v), zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(v.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for k, v in notices.items()}
+        self.notices = {k: (_words(v), zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(v.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for k, v in notices.items() if _words(v)}
+        self.cues: dict[str, list[str]] = {}  # word -> notices that it is a cue of
+        for k, (notice, _) in self.notices.items():
+            for w in _cues(notice):
+                self.cues.setdefault(w, []).append(k)
 
     def saved(self, name: str, stretch: str) -> float:
         raw = stretch.lower().encode("utf-8", "surrogatepass")
@@ -142,30 +140,34 @@ class Scanner:
 
         The place with most words found goes first, then the one with fewest missing and put in, then the one that saves most; its
         words are then masked, and the others have to do with the words between."""
-        out = []
-        for start, block in blocks(text) if text else ():
-            at = [(m.start(), m.end()) for m in _WORD.finditer(block)]
-            words, places = [block[b:e].lower() for b, e in at], []
-
-            def consider(k: str, s: int, end: int) -> None:
-                if pairs := _aligned(self.notices[k][0], words, s, end):
-                    first, last = pairs[0][1], pairs[-1][1]
-                    amiss = len(self.notices[k][0]) + last + 1 - first - 2 * len(pairs)
-                    heappush(places, (-len(pairs), amiss, -self.saved(k, block[at[first][0] : at[last][1]]), s, k, pairs))
-
-            for k, (notice, _) in self.notices.items():
-                for s in _starts(notice, words):
-                    consider(k, s, len(words))
-            masked = bytearray(len(words))
-            while places:
-                _, _, less, s, k, pairs = heappop(places)
-                first, last = pairs[0][1], pairs[-1][1] + 1
-                if (end := masked.find(1, s, last)) >= 0:
-                    if end > s:
-                        consider(k, s, end)
-                    continue
-                masked[first:last] = b"\1" * (last - first)
-                out.append((start + at[first][0], k, -less, *_report(self.notices[k][0], words, pairs)))
+        words = _words(text or "")
+        if self.cues.keys().isdisjoint(words):
+            return []
+        at, out, places = [m.span() for m in _WORD.finditer(text)], [], []
+
+        def consider(k: str, s: int, end: int) -> None:
+            if pairs := _aligned(self.notices[k][0], words, s, end):
+                first, last = pairs[0][1], pairs[-1][1]
+                amiss = len(self.notices[k][0]) + last + 1 - first - 2 * len(pairs)
+                heappush(places, (-len(pairs), amiss, -self.saved(k, text[at[first][0] : at[last][1]]), s, k, pairs))
+
+        cues: dict[str, list[int]] = {}
+        for p, w in enumerate(words):
+            for k in self.cues.get(w, ()):
+                cues.setdefault(k, []).append(p)
+        for k, found in cues.items():
+            for s in _starts(self.notices[k][0], words, found):
+                consider(k, s, len(words))
+        masked = bytearray(len(words))
+        while places:
+            _, _, less, s, k, pairs = heappop(places)
+            first, last = pairs[0][1], pairs[-1][1] + 1
+            if (end := masked.find(1, s, last)) >= 0:
+                if end > s:
+                    consider(k, s, end)
+                continue
+            masked[first:last] = b"\1" * (last - first)
+            out.append((at[first][0], k, -less, *_report(self.notices[k][0], words, pairs)))
         return sorted(out)
 
 

@@ -309,6 +309,16 @@ def test_all_notices_of_a_block_are_reported():
     assert [(g[1], g[5]) for g in scanner.scan(f"{edited} {edited}\n{edited}")] == [("GPL-3.0", "free")] * 3
 
 
+def test_given_notices_are_searched_in_whole_texts():
+    own = {"plain": "Anyone may do with this what they like.", "long": "Permission comes first. " + PROSE, "none": "..."}
+    scanner = licenses.Scanner(own)
+    assert [g[:2] for g in scanner.scan(f"x {own['plain']} y")] == [(2, "plain")]
+    assert [(g[1], g[3]) for g in scanner.scan(f"x {own['long']} {own['long']} y")] == [("long", 1.0)] * 2
+    mit = licenses.NOTICES["MIT-text"].split()
+    wrapped = "\n".join(" ".join(mit[k : k + 6]) for k in range(0, len(mit), 6))
+    assert [g[:2] for g in licenses.Scanner().scan(f"a\n{wrapped}\nb")] == [(2, "MIT-text")]
+
+
 def test_registered():
     assert set(queries.oracle_sql()) <= set(queries.queries()) and json.dumps(sorted(queries.oracle_sql()))
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
