@@ -65,6 +65,15 @@ def key_bounds(docs: DataFrame, column: str, pieces: int) -> np.ndarray:
     return np.unique(np.array(got or [], np.int64))
 
 
+def range_of(key: Column, bounds: np.ndarray) -> Column:
+    """Which of the ranges that ascending bounds cut a long key is in (from 0; a bound begins its range), by bisection."""
+    if not len(bounds):
+        return F.lit(0)
+    cuts, steps = F.lit([int(b) for b in bounds]), [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    step = lambda at, n: F.when(F.get(cuts, at + n - 1) <= key, at + n).otherwise(at)
+    return F.aggregate(F.lit(steps), F.lit(0), step)
+
+
 #: Bytes of rows that go to Python at once.
 BATCH_BYTES = 8 << 20
 
