@@ -5,10 +5,12 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,23 +125,20 @@ def by_group(df: DataFrame, keys: list[str], f: Callable[[dict[str, np.ndarray]]
     return mapped(dealt, stream, schema)
 
 
-class WordIds(dict):
-    """A 64-bit xxhash of each word (bytes), remembered; emptied when it holds too many words."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.most:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit xxhash of each word, in order of the texts; where each text's begin, and the end of the last). Words are cut and
+    their distinct ones numbered by Arrow, so that each is hashed once. `lower`: ASCII letters are lower-cased."""
+    import xxhash
+
+    whole = pa.array([(t or "").encode("utf-8", "replace") for t in texts], pa.large_string())
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(whole) if lower else whole)
+    numbered = cut.values.dictionary_encode()
+    distinct = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+    at, ends = numbered.indices.to_numpy(), cut.offsets.to_numpy()
+    if b"" in distinct:  # what the cutting leaves before leading and after trailing white space
+        real = at != distinct.index(b"")
+        at, ends = at[real], np.append(0, np.cumsum(real))[ends]
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[at], ends
 
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)

@@ -25,7 +25,7 @@ import itertools
 import math
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import merge
 
 import numpy as np
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, broadcast_if_small, by_group, mapped, mixed, partitions, shingle_hashes, stored
+from .common import broadcast_if_small, by_group, mapped, mixed, partitions, shingle_hashes, stored, word_hashes
 from .graph import components
 
 #: Shingles in a block, about; a block with more is cut into chunks of half as many.
@@ -46,14 +46,13 @@ BLOCK_DOCS = 2_000
 MERGED = 4096
 
 
-def shingle_set(text: str | None, n: int, known: WordIds) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles of a whole text, ASCII letters lower-cased. With fewer words (but one at
+def shingle_sets(texts: Iterable[str | None], n: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the n-word shingles of each whole text, ASCII letters lower-cased. With fewer words (but one at
     least), the whole sequence as one; without words, none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    ids = known.array(words)
-    return np.unique(shingle_hashes(ids, min(n, len(ids))) + np.uint64(0 if len(ids) >= n else len(ids)))
+    every, ends = word_hashes(texts, lower=True)
+    grams = shingle_hashes(every, n)  # of all texts at once; those that go beyond a text's end are left out
+    for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield np.unique(grams[i : j - n + 1] if j - i >= n else shingle_hashes(every[i:j], j - i) + np.uint64(j - i) if j > i else every[:0])
 
 
 def _salted(s: np.ndarray, salt: int) -> int:
@@ -231,11 +230,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     prefixes = Prefixes(num, den)
 
     def pass1(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordIds()
         for b in batches:
             seen, rows = set(), []
-            for t, named in zip(b["text"], b["id"].notna()):
-                s = shingle_set(t, n, known)
+            for s, named in zip(shingle_sets(b["text"], n), b["id"].notna()):
                 h = signed(_salted(s, 1))
                 first = named and len(s) > 0 and h not in seen  # rows without an id link to nothing, so they stand for no copy
                 if first:
@@ -303,9 +300,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     reps = stored(classes.join(members.select("h1").distinct(), "h1").select("rep", "h1"), "block-reps")
 
     def pass2(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordIds()
         for b in batches:
-            bodies = [shingle_set(t, n, known) for t in b["text"]]
+            bodies = list(shingle_sets(b["text"], n))
             out = pd.DataFrame({"rep": b["rep"], "h1": b["h1"], "size": [len(s) for s in bodies], "body": [s.astype("<u8").tobytes() for s in bodies]})
             yield out[[signed(_salted(s, 1)) == h for s, h in zip(bodies, b["h1"].tolist())]]
 

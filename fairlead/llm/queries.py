@@ -118,6 +118,27 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM c GROUP BY conv_id"""
 
 
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')".format
+
+_SUBSTRINGS_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS("coalesce(text, '')")} AS w FROM documents),
+g AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM g) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM r),
+every AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM every ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+_JACCARD_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+e AS (SELECT doc_id, len(x) AS n, unnest(x) AS k FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.k = b.k AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, links.b FROM r JOIN links ON links.a = r.reach)
+SELECT s.doc_id, len(x)::BIGINT AS n_shingles, component_id FROM s JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id) USING (doc_id)"""
+
+
 def queries() -> dict:
     return {
         "op1_pareto_mix": op1_pareto_mix,
@@ -134,4 +155,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secrets": _secrets_sql(), "op5_chat": _CHAT_SQL}
+    return {"op4_secrets": _secrets_sql(), "op5_chat": _CHAT_SQL, "op6_substrings": _SUBSTRINGS_SQL, "op7_jaccard": _JACCARD_SQL}

@@ -118,6 +118,28 @@ def test_op6_against_a_loop(spark, monkeypatch, hot, shard):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in got} == want
 
 
+def test_op6_rows_with_one_id_and_different_texts(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    a, b = text(40), text(40)
+    c = " ".join(b.split()[:25]) + " " + text(10)
+    rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (5, b, "s"), (9, c, "s"), (None, a, "s"), (5, None, "s"), (5, "", "s")]
+    got = sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in substrings.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(3)).collect()))
+    assert got == sorted([(1, 40, 0), (5, 40, 40), (5, 40, 0), (5, 40, 0), (9, 35, 25), (0, 40, 0), (5, 0, 0), (5, 0, 0)])
+
+
+def test_pieces_of_a_batch_are_those_of_each_text():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 4, n).astype(np.uint64) for n in (0, 5, 20, 300, 19, 0, 21, 1000, 0)]
+    ends = np.append(0, np.cumsum([len(t) for t in texts]))
+    got = [np.concatenate(x).tolist() for x in zip(*(substrings.pieces_of_texts(np.concatenate(texts), ends, 20, 5),))]
+    for i, t in enumerate(texts):
+        own = substrings.pieces(t, np.array([0, len(t)]), 20, 5)
+        at = [k for k, x in enumerate(got[0]) if x == i]
+        assert [[g[k] for k in at] for g in got[1:]] == [x.tolist() for x in own[1:]]
+        assert sum(own[4]) == max(0, len(t) - 19)
+
+
 def test_automaton_statistics():
     rng = random.Random(6)
     for _ in range(200):

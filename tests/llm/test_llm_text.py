@@ -193,16 +193,6 @@ def test_nothing_in_a_text_can_forge_the_template(spark):
     assert chat.format_chat(log.limit(0)).count() == 0
 
 
-def test_op5_against_its_sql(spark):
-    import duckdb
-
-    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
-    want = duckdb.sql(queries.oracle_sql()["op5_chat"])
-    columns = sorted(want.columns)
-    got = sorted(map(tuple, queries.op5_chat(spark, SF).select(*columns).collect()))
-    assert got == sorted(tuple(r[want.columns.index(c)] for c in columns) for r in want.fetchall())
-
-
 # --- op9
 
 
