@@ -3,7 +3,8 @@
 Each source gets a target in words. A document's expected number of copies is r = target / source size: floor(r) whole copies
 are certain, and the fraction left over is its inclusion probability p. Documents are ranked by their random odds u / (1 - u)
 divided by their inclusion odds p / (1 - p), and the sample of fixed size is what comes first in that order: documents are taken
-until the words still wanted are used up, passing over those that no longer fit.
+until the words still wanted are used up, passing over those that no longer fit. As targets are for sources, p is the same for all
+documents of a source; it differs between sources, so ranks can be compared across them.
 
 The order is never sorted as a whole. The rank is mapped to (0, 1) and the place where the sample ends is found by radix
 selection: word sums by coarse slot of the rank (pre-aggregated in each task, so a hot source costs no more than others), then by
@@ -14,12 +15,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, broadcast_if_small, stored, word_count
+from .common import BROADCAST_ROWS, stored, word_count
 
-SLOTS = 4096
+#: Slots of the rank at each of two levels: what a source's sums come in.
+SLOTS = 256
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
@@ -74,26 +76,16 @@ def _prefix(cand: DataFrame, small: bool) -> DataFrame:
         cand = _with(cand.drop("before").withColumn(slot, rank), ends, slot, small=small).select("source", "wanted", "before", "x", "size")
 
 
-def mix(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: tuple[float, ...] = (1, 2, 3),
-    cap: float = 3.0,
-    seed: int = 20240229,
-    passes: int = 6,
-) -> DataFrame:
-    """One row per document: id_col, source, size, source_size, target, copies, taken (= copies * size).
+def random_number(doc_id: Column, seed: int) -> Column:
+    """Between 0 and 1, from a hash of the id."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string"))), 1, 13)
+    return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
 
-    Random numbers come from a hash of the id, so reruns agree and a recomputed task gives the same rows. Rows with equal ids in
-    a source share their fate. Null or empty texts have size 0; they get the whole copies alone and take no words. A null source
-    is a source. An empty table gives no rows. `passes` is how often the words still wanted are offered to the documents that
-    come after the one that didn't fit; what remains short is less than the smallest document passed over in the last.
-    """
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(2**53))
-    base = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), u.alias("u")), "mix-sizes")
+
+def _sampler(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...], cap: float, seed: int, tolerance: float):
+    """A function that adds source_size, target and copies to a frame with id, source, size and u."""
+    keyed = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), random_number(F.col(id_col), seed).alias("u")]
+    base = stored(docs.select(*keyed), "mix-sizes")
     targets = stored(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
     small = targets.count() <= BROADCAST_ROWS
 
@@ -101,26 +93,70 @@ def mix(
     t = targets.withColumn("whole", F.floor(ratio + F.lit(1e-9))).withColumn("p", F.greatest(ratio - F.col("whole"), F.lit(0.0)))
     t = t.withColumn("wanted", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
     odds = F.col("u") / (1 - F.col("u")) / (F.col("p") / (1 - F.col("p")))
-    ranked = _with(base, t, small=small, how="left").withColumn("x", F.when(F.col("p") > 0, odds / (1 + odds)))
 
-    cuts, steps = t.filter("wanted > 0").select("source", "wanted", F.lit(-1.0).alias("low")), []
-    for n in range(passes):
-        cand = _with(ranked.drop("wanted").filter("x is not null and size > 0"), cuts, small=small).filter("size <= wanted and x > low").select("source", "wanted", "x", "size")
+    def ranked(rows: DataFrame) -> DataFrame:
+        return _with(rows, t, small=small, how="left").withColumn("x", F.when(F.col("p") > 0, odds / (1 + odds)))
+
+    few = F.greatest(F.lit(1.0), F.col("target") * F.lit(tolerance))
+    cuts, steps = stored(t.filter("wanted > 0").select("source", "wanted", F.lit(-1.0).alias("low"), few.alias("few")), "mix-pass"), []
+    while not cuts.isEmpty():
+        cand = _with(ranked(base).drop("wanted").filter("x is not null and size > 0"), cuts, small=small).filter("size <= wanted and x > low").select("source", "wanted", "x", "size")
         ends = _prefix(cand, small).withColumnRenamed("x", "high")
         # The document at `high` doesn't fit: the next pass goes on behind it with the words left.
-        cuts = stored(_with(cuts, ends, small=small, how="left"), f"mix-pass{n}")
+        cuts = stored(_with(cuts, ends, small=small, how="left"), "mix-pass")
         steps.append(cuts.select("source", F.struct("wanted", "low", F.coalesce("high", F.lit(2.0)).alias("high")).alias("take")))
-        cuts = cuts.filter("high is not null").select("source", (F.col("wanted") - F.col("before")).alias("wanted"), F.col("high").alias("low")).filter("wanted > 0")
-    takes = reduce(DataFrame.unionByName, steps).groupBy("source").agg(F.collect_list("take").alias("takes"))
-    fits = F.exists("takes", lambda t: (F.col("size") <= t["wanted"]) & (F.col("x") > t["low"]) & (F.col("x") < t["high"]))
-    copies = (F.col("whole") + F.coalesce(fits & (F.col("size") > 0), F.lit(False)).cast("long")).alias("copies")
-    out = _with(ranked, takes, small=small, how="left").select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies)
+        cuts = cuts.filter("high is not null").select("source", (F.col("wanted") - F.col("before")).alias("wanted"), F.col("high").alias("low"), "few").filter("wanted >= few")
+    takes = reduce(DataFrame.unionByName, steps).groupBy("source").agg(F.collect_list("take").alias("takes")) if steps else None
+
+    def sampled(rows: DataFrame | None = None) -> DataFrame:
+        out = ranked(base if rows is None else rows)
+        if takes is None:
+            return out.withColumn("copies", F.col("whole"))
+        fits = F.exists("takes", lambda t: (F.col("size") <= t["wanted"]) & (F.col("x") > t["low"]) & (F.col("x") < t["high"]))
+        copies = F.col("whole") + F.coalesce(fits & (F.col("size") > 0), F.lit(False)).cast("long")
+        return _with(out, takes, small=small, how="left").withColumn("copies", copies)
+
+    return keyed, sampled
+
+
+def mix(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[float, ...] = (1, 2, 3),
+    cap: float = 3.0,
+    seed: int = 20240229,
+    tolerance: float = 0.001,
+) -> DataFrame:
+    """One row per row of docs: id_col, source, size, source_size, target, copies, taken (= copies * size).
+
+    Random numbers come from a hash of the id, so reruns agree and a recomputed task gives the same rows. Rows with equal ids (or
+    null ones) have the same rank; equal ids, sources and sizes share their fate, each row counting. Null or empty texts have size
+    0; they get the whole copies alone and take no words. A null source is a source. An empty table gives no rows. The words still
+    wanted are offered again to the documents that come after the one that didn't fit, until they are less than `tolerance` of the
+    source's target, or nothing fits; so a source falls short by less than that, or than its smallest document passed over.
+    """
+    _, sampled = _sampler(docs, id_col, text_col, source_col, weights, cap, seed, tolerance)
+    out = sampled().select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies")
     return out.withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
-    """The mix itself: docs with each row repeated as often as mix() takes it (not at all for 0), with the columns of docs."""
-    copies = stored(mix(docs, id_col=id_col, source_col=source_col, **how).filter("copies > 0").select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("copies").cast("int").alias("__copies")).distinct(), "mix-copies")
-    on = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source"))
-    taken = docs.join(broadcast_if_small(copies), on).withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+def mixed_documents(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[float, ...] = (1, 2, 3),
+    cap: float = 3.0,
+    seed: int = 20240229,
+    tolerance: float = 0.001,
+) -> DataFrame:
+    """The mix itself: docs with each row repeated as often as mix() takes it (not at all for 0), with the columns of docs. Each
+    row's copies follow from its own id, source and size, so rows with equal ids don't touch each other."""
+    keyed, sampled = _sampler(docs, id_col, text_col, source_col, weights, cap, seed, tolerance)
+    rows = docs.select(*keyed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = sampled(rows).filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("n"))
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

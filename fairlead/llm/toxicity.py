@@ -21,6 +21,7 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import nlargest
 
 import numpy as np
@@ -33,6 +34,8 @@ from .common import mapped, small_batches
 #: Bounds of the training sample: documents of each label, landmarks, negatives in the first round and added in a later one.
 PER_LABEL, LANDMARKS, NEGATIVES, HARD = 2000, 96, 12_000, 3_000
 DECAY, LONGEST, ALPHABET = 0.5, 24, 64
+#: Codes that all characters share which are not among the commonest of the training sample, by a hash of the code point.
+SHARED = 12
 #: How many of a document's words its score rests on.
 TOP = 4
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -58,15 +61,21 @@ def units(text: str | None) -> set[str]:
     return out
 
 
+@lru_cache(maxsize=4)
+def _codes(alphabet: str) -> np.ndarray:
+    """The code (below ALPHABET) of every code point: one of its own for the alphabet's first characters, else a shared one."""
+    own = ("^$" + alphabet.replace("^", "").replace("$", ""))[: ALPHABET - SHARED]
+    table = (ALPHABET - SHARED + (np.arange(sys.maxunicode + 1, dtype=np.uint64) * np.uint64(2654435761) >> np.uint64(16)) % np.uint64(SHARED)).astype(np.uint8)
+    table[[ord(c) for c in own]] = np.arange(len(own))
+    return table
+
+
 class Kernel:
-    """Words as rows of character codes (0: none of the alphabet), by length, and sums over their subsequences."""
+    """Words as rows of character codes, by length, and sums over their subsequences. Characters of all scripts have a code; words
+    are told apart by code points where norms are computed, by codes where weights are summed."""
 
     def __init__(self, alphabet: str):
-        self.alphabet = ("^$" + alphabet.replace("^", "").replace("$", ""))[: ALPHABET - 1]
-        self.table = np.zeros(0x400, np.int64)
-        for i, c in enumerate(self.alphabet):
-            if ord(c) < 0x400:
-                self.table[ord(c)] = i + 1
+        self.table = _codes(alphabet)
 
     def rows(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(indices of words, code points, codes) of equal length each; words longer than LONGEST come as overlapping pieces."""
@@ -83,7 +92,7 @@ class Kernel:
         for n, (at, parts) in by.items():
             for k in range(0, len(parts), 20_000):
                 points = np.array(parts[k : k + 20_000], f"<U{n}").view(np.uint32).reshape(-1, n)
-                yield np.array(at[k : k + 20_000]), points, self.table[np.minimum(points, 0x3FF)] * (points < 0x400)
+                yield np.array(at[k : k + 20_000]), points, self.table[points].astype(np.int64)
 
     def sums(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Of weights[triple] * DECAY ** span over all subsequences of each row."""
@@ -118,8 +127,7 @@ class Kernel:
             for i in range(n - 2):
                 for j in range(i + 1, n - 1):
                     for k in range(j + 1, n):
-                        if c[i] and c[j] and c[k]:
-                            out[c[i], c[j], c[k]] += DECAY ** (k - i + 1)
+                        out[c[i], c[j], c[k]] += DECAY ** (k - i + 1)
             return out / np.sqrt(self.norms(points[:1])[0])
         return out
 
@@ -224,15 +232,16 @@ def _witnesses(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]
 
 def fit(toxic: list[set[str]], clean: list[set[str]], seed: int = 7, rounds: int = 3) -> Model:
     """A model from bags of words of toxic and clean documents; each fourth of either is kept for the logistic model. With too few
-    documents of a label to learn from, one that scores all alike, by the share of toxic ones."""
+    documents of a label to learn from, one that scores all alike, by the share of toxic ones but below one half: a machine that
+    has learnt nothing calls nothing toxic."""
     parts = [([b for i, b in enumerate(x) if i % 4 != 3], x[3::4]) for x in (toxic, clean)]
     (toxic, toxic_cal), (clean, clean_cal) = parts
     good = _witnesses(toxic, clean) if toxic_cal and clean_cal else {}
     if not good:
-        p = (len(toxic) + 0.5) / (len(toxic) + len(clean) + 1)
+        p = min(0.45, (len(toxic) + 0.5) / (len(toxic) + len(clean) + 1))
         return Model("a", np.zeros((ALPHABET,) * 3), 0.0, np.append(np.zeros(TOP + 1), np.log(p / (1 - p))))
     rng = np.random.default_rng(seed)
-    alphabet = "".join(c for c, _ in sorted(Counter("".join(w for bag in (*toxic, *clean) for w in bag)).items(), key=lambda x: (-x[1], x[0])) if ord(c) < 0x400 and not c.isspace())
+    alphabet = "".join(c for c, _ in sorted(Counter("".join(w for bag in (*toxic, *clean) for w in bag)).items(), key=lambda x: (-x[1], x[0])) if not c.isspace())
     kernel, often = Kernel(alphabet), Counter(w for bag in clean for w in {trimmed(u) for u in bag})
     ordinary = sorted(often)
     bad = {ordinary[i] for i in rng.choice(len(ordinary), min(NEGATIVES, len(ordinary)), replace=False)}
@@ -282,8 +291,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: int = 7) -> Model:
     """A model from labelled documents outside the held-out fold, at most per_label of each label, chosen by a hash of the id.
 
-    A document counts as toxic if any of its label rows says so; null labels and labels without a document don't count. Texts of
-    the sample are cut into words where they lie, and the distinct words alone reach the driver."""
+    A document counts as toxic if any of its label rows says so; null labels and labels without a document don't count. Rows with
+    a labelled id all count, each with its own text. No labels, or too few of one kind: see fit(). Texts of the sample are cut into
+    words where they lie, and the distinct words alone reach the driver."""
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(seed))
     sample = known.filter("toxic = 1").orderBy(order).limit(per_label).unionByName(known.filter("toxic = 0").orderBy(order).limit(per_label))
@@ -312,7 +322,8 @@ def _column(model: Model):
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with `score` (0 to 1) and `predicted` (1 from 0.5): null, empty and blank texts get the score of a text without any
-    word, which is low. Other columns stay; such named score or predicted are replaced. Rows are scored one by one, in place."""
+    word, which is low. Other columns stay; such named score or predicted are replaced. Rows are scored one by one, in place, so
+    equal texts score alike whatever their ids; no rows in, no rows out."""
 
     small_batches(docs.sparkSession)
     return docs.withColumn("score", _column(model)(F.col(text_col))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -77,10 +77,52 @@ def test_op1_targets_and_sample(spark):
     assert all(abs(taken[s] - want[s]) <= 60 for s in sizes)
 
 
-def test_op1_order_is_paretos():
-    u, p = 0.3, 0.6
-    q = u / (1 - u) / (p / (1 - p))
-    assert 0 < q / (1 + q) < 1
+def sample_by_loop(rows, seed=20240229, tolerance=0.001):
+    """Documents sorted by random odds over inclusion odds, each taken if it still fits; passes end as the docstring says."""
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    targets, out = targets_by_loop(sizes), {}
+    for s, target in targets.items():
+        ratio = target / sizes[s] if sizes[s] else 0.0
+        whole = int(ratio + 1e-9)
+        p, left = max(ratio - whole, 0.0), round(target - whole * sizes[s])
+        few, order = max(1.0, target * tolerance), []
+        for i, t, x in rows:
+            if x == s:
+                out[i] = whole
+                u = (int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                order.append((u / (1 - u) / (p / (1 - p)) if p else 0.0, i, len((t or "").split())))
+        order = sorted(o for o in order if o[2] and p)
+        first = left > 0
+        while order and (first or left >= few):
+            first, order = False, [o for o in order if o[2] <= left]
+            while order and order[0][2] <= left:
+                _, i, n = order.pop(0)
+                out[i] += 1
+                left -= n
+    return out
+
+
+def test_op1_against_a_loop(spark):
+    rng = random.Random(12)
+    rows = [(i, "w " * rng.choice([0, 1, 3, 40, rng.randint(1, 900)]), rng.choice(["a", "b", "b", "b", "c", None, "tiny" if i < 30 else "a"])) for i in range(1500)]
+    got = {r["doc_id"]: r["copies"] for r in mixing.mix(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == sample_by_loop(rows)
+
+
+def test_op1_rows_with_one_id_and_source(spark):
+    rows = [(1, "w " * n, "a") for n in (1, 5, 50, 500)] + [(i, "w " * 20, "b") for i in range(50)] + [(None, "w " * 7, "b"), (None, "w " * 7, "b")]
+    docs = spark.createDataFrame(rows, DOCS)
+    copies = sorted((str(r["doc_id"]), r["size"], r["copies"]) for r in mixing.mix(docs).collect())
+    out = {}
+    for r in mixing.mixed_documents(docs).collect():
+        k = (str(r["doc_id"]), len(r["text"].split()))
+        out[k] = out.get(k, 0) + 1
+    want = {}
+    for i, n, c in copies:
+        want[i, n] = want.get((i, n), 0) + c
+    assert out == {k: c for k, c in want.items() if c} and all(c <= 3 for *_, c in copies)
 
 
 def test_op1_on_odd_documents(spark):

@@ -117,7 +117,28 @@ def test_op3_fold_and_shape(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     held = [(r["predicted"], labels[r["doc_id"]]) for r in got if r["held_out"] and r["doc_id"] in labels]
-    assert np.mean([a == b for a, b in held]) >= 0.9
+    both = sum(a and b for a, b in held)
+    assert sum(b for _, b in held) >= 5
+    # Recall and precision. Some documents labelled toxic hold no insult, so recall can't be full.
+    assert both >= 0.8 * sum(b for _, b in held) and both >= 0.9 * sum(a for a, _ in held)
+
+
+def test_learns_insults_in_any_script():
+    rng = random.Random(4)
+    for syllables, insult in ((["та", "ко", "ми", "ре", "су", "ло"], "грымзлик"), (["你", "好", "世", "界", "山", "水", "火", "风", "天", "地"], "笨蛋傻瓜")):
+        word = lambda: "".join(rng.choices(syllables, k=rng.randint(3, 4)))
+        clean = [{word() for _ in range(30)} for _ in range(300)]
+        toxic = [{word() for _ in range(30)} | {insult} for _ in range(150)]
+        s = toxicity.Scorer(toxicity.fit(toxic, clean))
+        fresh = [" ".join(word() for _ in range(30)) for _ in range(50)]
+        assert (s.scores(fresh) < 0.5).mean() > 0.95 and (s.scores([f"{f} {insult}" for f in fresh]) > 0.5).mean() > 0.95
+
+
+def test_nothing_is_toxic_to_a_machine_that_learnt_nothing(spark):
+    docs = odd_docs(spark)
+    for rows in ([], [(1, 1)], [(1, 0)], [(1, 1), (3, 1), (4, 1), (6, 0), (8, 0)], [(1, None)]):
+        model = toxicity.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))
+        assert toxicity.keep_clean(docs, model).count() == docs.count() and toxicity.score(docs, model).filter("predicted = 1 or score < 0").count() == 0
 
 
 def test_op3_on_odd_documents(spark):
