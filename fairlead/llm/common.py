@@ -6,6 +6,8 @@ import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -21,23 +23,51 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a folder of our own, but only if
+    driver and executors are one process; on a cluster that is an error, as no other folder is known to be shared."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = getattr(spark.sparkContext, "_fairlead_dir", None)
     if own is None:
         own = spark.sparkContext._fairlead_dir = "file://" + tempfile.mkdtemp(prefix="fairlead-")
     return own
 
 
+#: Where the tables are that the innermost passing() is about to delete.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read back, which cuts its lineage and survives lost executors."""
+    """df written once to the shared folder and read back, which cuts its lineage and survives lost executors. The files stay, as the
+    caller's frames read them; see passing()."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if (made := _passing.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What stored() writes inside is deleted at the end: frames made of it have to be written elsewhere before."""
+    made: list[str] = []
+    token = _passing.set(made)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,7 +1,7 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, asked with every passage of every document by block-max WAND.
 
-The index is of the benchmark, which is small and counted: up to ITEMS items form one index, sent to the executors; a larger
-benchmark takes several, one after the other. Impacts are divided by the item's score against itself, so that a score is the share
+The index is of the benchmark, which is counted: up to ITEMS items form one index, sent to the executors; a larger benchmark takes
+several, one after the other. Impacts are divided by the item's score against itself, so that a score is the share
 of an item that the passage covers and one threshold suits all items. Passages are windows that overlap by half and are twice as
 long as the longest item, so that every stretch as long as any item lies whole in one of them.
 
@@ -19,13 +19,14 @@ import string
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, small_batches
+from .common import mapped, small_batches, stored
 
 #: Items in one index (each some hundred words at most: some MB), BM25's constants, and postings in a block.
 ITEMS, K1, B, BLOCK = 20_000, 1.2, 0.75, 4
@@ -53,10 +54,10 @@ def shingles(terms: list[int], n: int) -> set[tuple[int, ...]]:
 class Index:
     """Postings by term (items ascending, with impacts) and the largest impact in each block of items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         parts = [(i, *question_and_answer(t or "")) for i, t in items]
         common = Counter(w for _, q, a in parts for w in {*q, *a})
-        parts = sorted((p for p in parts if p[1]), key=lambda p: (max(p[1] + p[2], key=lambda w: (common[w], w)), len(p[1]) + len(p[2]), p[0]))
+        parts = sorted((p for p in parts if p[1]), key=lambda p: (max(p[1] + p[2], key=lambda w: (common[w], w)), len(p[1]) + len(p[2]), p[0] is not None, p[0] or 0, p[1:]))
         self.ids = [p[0] for p in parts]
         self.vocabulary: dict[str, int] = {}
         term = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary))
@@ -170,34 +171,39 @@ def leaks(index: Index, terms: Terms, text: str | None, threshold: float = THRES
     return [best[i] for i in sorted(best)]
 
 
-def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Index]:
-    """The benchmark in indexes of ITEMS items or so; items without words are in none."""
+def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
+    """The benchmark in indexes of ITEMS items or so, made one after the other; items without words are in none."""
     parts = max(1, math.ceil(benchmark.count() / ITEMS))
     part = F.pmod(F.xxhash64(id_col, text_col), F.lit(parts))
-    out = []
     for p in range(parts):
-        rows = benchmark.filter(part == p).select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).collect()
-        out.append(Index(sorted((r["i"], r["t"] or "") for r in rows if r["i"] is not None)))
-    return out
+        yield Index([(r["i"], r["t"] or "") for r in benchmark.filter(part == p).select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).toLocalIterator()])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): every item that a document holds, once for each row of docs.
 
-    Null and empty texts hold none; an empty benchmark finds none. Repeated items are found each."""
-    base, out = docs.select("doc_id", "text"), None
-    for index in indexes(benchmark):
+    Null and empty texts hold none, whatever their length texts are searched whole, and a null doc_id is reported as null. An item
+    with a null item_id is an item like others, reported with a null item_id; items that are null, empty or without words are
+    found nowhere. Repeated items are found each, and items with equal scores all. Of an item's several places in a document the
+    best-scoring one is told, the first of equals. An empty benchmark finds none, and no documents give no rows. Columns other than
+    doc_id and text are not looked at. A benchmark of several indexes is searched with one after the other, each result stored."""
+    base, found, last = docs.select("doc_id", "text"), [], None
 
-        def f(batches: Iterator[pd.DataFrame], index: Index = index) -> Iterator[pd.DataFrame]:
+    def searched(index: Index) -> DataFrame:
+        def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             terms = Terms(index.vocabulary)
             for b in batches:
                 rows = [(i, index.ids[g[0]], *g[1:]) for i, t in zip(b["doc_id"], b["text"]) for g in leaks(index, terms, t, threshold, overlap)]
                 if rows:
-                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+        return mapped(base, f, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
 
-        got = mapped(base, f, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
-        out = got if out is None else out.unionByName(got)
-    return out
+    for index in indexes(benchmark):
+        if last is not None:
+            found.append(stored(last, "leaks"))  # the index before isn't needed any more
+        last = searched(index)
+    return reduce(DataFrame.unionByName, [*found, last])
 
 
 def _clean(index: Index, threshold: float, overlap: float):
@@ -211,8 +217,9 @@ def _clean(index: Index, threshold: float, overlap: float):
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """docs without those that hold a test item; all columns and other rows stay as they are."""
+    """docs without the rows whose text holds a test item (see find_leaks); all columns and other rows stay as they are. Each row is
+    judged by its own text, so null and repeated ids make no difference. With several indexes, what one leaves is stored."""
     small_batches(docs.sparkSession)
-    for index in indexes(benchmark):
-        docs = docs.filter(_clean(index, threshold, overlap)("text"))
+    for n, index in enumerate(indexes(benchmark)):
+        docs = (stored(docs, "not-leaking") if n else docs).filter(_clean(index, threshold, overlap)("text"))
     return docs

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, by_group, mapped, mixed, partitions, shingle_hashes, stored, word_hashes
+from .common import WORD, broadcast_if_small, by_group, mapped, mixed, partitions, shingle_hashes, stored, word_hashes
 from .graph import components
 
 #: Shingles in a block, about; a block with more is cut into chunks of half as many.
@@ -324,7 +324,15 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs less all but one of each component: the one with the smallest id stays, and documents without words all stay."""
+    """docs less all but one of each component: the one with the smallest id stays. Of rows equal in id and text one stays; rows with
+    one id and different texts are one document to the join, and stay or go together. Documents without words and rows with a null
+    id all stay. All columns stay as they are; no rows in, no rows out."""
     got = jaccard_components(docs, n, num, den, id_col, text_col)
     drop = stored(got.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__dropped")).distinct(), "jaccard-dropped")
-    return docs.join(broadcast_if_small(drop), F.col(id_col) == F.col("__dropped"), "left_anti")
+    kept = docs.join(broadcast_if_small(drop), F.col(id_col) == F.col("__dropped"), "left_anti")
+    if docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col)).count().filter("count > 1").isEmpty():
+        return kept
+    counts = F.col(id_col).isNotNull() & F.coalesce(F.rlike(text_col, F.lit(WORD)), F.lit(False))
+    copies = kept.filter(counts).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    one = copies.groupBy("id", "hash").agg(F.first("row").alias("row"))
+    return kept.filter(~counts).unionByName(one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

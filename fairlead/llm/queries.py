@@ -131,7 +131,7 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS
 
 _JACCARD_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: hash(w[i:i + 2])) WHEN len(w) > 0 THEN [hash(w)] ELSE [] END) AS x FROM d),
 e AS (SELECT doc_id, len(x) AS n, unnest(x) AS k FROM s),
 links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.k = b.k AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
   GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),

@@ -150,23 +150,38 @@ def candidates(index: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return stored(found.groupBy(F.col("hit.id").alias("id")).agg(F.collect_set("kind").alias("kinds")), "trigram-hits")
 
 
+#: Matches whose places are added up at once; a sum that carries on over more would copy its list too often.
+AT_ONCE = 256
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """array<struct<start, kind_order, kind, end>> of leftmost non-overlapping matches whose group is long enough; code points.
 
-    Positions add up what split() leaves between the matches and the matches themselves."""
+    Positions add up what split() leaves between the matches and the matches themselves: within chunks of AT_ONCE matches, and over
+    the chunks' lengths, so that a text with very many matches takes time in proportion."""
     kind = F.struct(F.lit(0).alias("start"), F.lit(order).alias("kind_order"), F.lit(rule.kind).alias("kind"), F.lit(0).alias("end"))
     none = F.filter(F.array(kind), lambda x: F.lit(False))
     p = F.lit(rule.java)
     rows = F.arrays_zip(F.split(text, rule.java, -1).alias("gap"), F.regexp_extract_all(text, p, F.lit(0)).alias("hit"), F.regexp_extract_all(text, p, F.lit(rule.group)).alias("part"))
     rows = F.filter(rows, lambda r: r["hit"].isNotNull())
+    rows = F.transform(rows, lambda r: F.struct(F.length(r["gap"]).alias("gap"), F.length(r["hit"]).alias("hit"), (F.length(r["part"]) >= rule.least).alias("counts")))
+    # rows is named by a lambda, or it would be computed anew for each chunk.
+    chunked = lambda x: F.transform(F.sequence(F.lit(0), F.greatest(F.size(x) - 1, F.lit(0)), F.lit(AT_ONCE)), lambda i: F.slice(x, i + 1, AT_ONCE))
+
+    def carry(acc: Column, chunk: Column) -> Column:
+        length = F.aggregate(chunk, F.lit(0), lambda n, r: n + r["gap"] + r["hit"])
+        return F.struct((acc["at"] + length).alias("at"), F.concat(acc["done"], F.array(F.struct(acc["at"].alias("at"), chunk.alias("chunk")))).alias("done"))
 
     def add(acc: Column, r: Column) -> Column:
-        start = acc["at"] + F.length(r["gap"])
-        end = start + F.length(r["hit"])
+        start = acc["at"] + r["gap"]
+        end = start + r["hit"]
         new = F.struct(start.alias("start"), F.lit(order).alias("kind_order"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(F.length(r["part"]) >= rule.least, F.concat(acc["found"], F.array(new))).otherwise(acc["found"]).alias("found"))
+        return F.struct(end.alias("at"), F.when(r["counts"], F.concat(acc["found"], F.array(new))).otherwise(acc["found"]).alias("found"))
 
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("found")), add, lambda acc: acc["found"])
+    unplaced = F.expr("cast(array() as array<struct<at:int,chunk:array<struct<gap:int,hit:int,counts:boolean>>>>)")
+    placed = lambda x: F.aggregate(chunked(x), F.struct(F.lit(0).alias("at"), unplaced.alias("done")), carry, lambda acc: acc["done"])
+    within = lambda c: F.aggregate(c["chunk"], F.struct(c["at"].alias("at"), none.alias("found")), add, lambda acc: acc["found"])
+    found = F.flatten(F.flatten(F.transform(F.array(rows), lambda x: F.transform(placed(x), within))))
     return F.when(F.rlike(text, p), found).otherwise(none)
 
 

@@ -320,6 +320,25 @@ def test_op7_null_ids_ahead_of_near_copies(spark):
     assert sorted((r["doc_id"] for r in jaccard.keep_one(docs).collect()), key=str) == sorted([None, None, 7, 8], key=str)
 
 
+def test_keep_one_of_rows_with_one_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a, "s"), (1, a, "t"), (1, b, "s"), (2, b + " more", "s"), (3, "", "s"), (3, "", "s"), (None, a, "s"), (None, a, "s"), (4, None, "s")]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("id", F.lit(0)).withColumn("row", F.lit(0)).withColumn("hash", F.lit(0))
+    got = jaccard.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], (r["text"] or "")[:1]) for r in got.collect()), key=str) == sorted([(1, "a"), (1, "b"), (3, ""), (3, ""), (None, "a"), (None, "a"), (4, "")], key=str)
+
+
+def test_what_is_stored_in_passing_goes(spark):
+    from fairlead.llm import common
+
+    with common.passing(spark):
+        df = common.stored(spark.range(3), "test")
+        path = df.inputFiles()[0].removeprefix("file://")
+        assert df.count() == 3
+    assert not __import__("os").path.exists(path)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 60), (60, 80), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -178,6 +178,12 @@ def test_op4_against_a_loop(spark):
     assert secrets.scan(empty_docs(spark)).count() == 0
 
 
+def test_op4_many_matches_in_one_text(spark):
+    text = " ".join(f"token={i:08d}" if i % 3 else "token=short" for i in range(5000)) + " " + "0123456789abcdef" * 2
+    df = spark.createDataFrame([(1, text, "s")], DOCS)
+    assert secrets.scan(df).select(secrets.listed(F.col("secrets")).alias("s")).first()["s"] == spans_by_loop(text)
+
+
 def test_trigram_queries_hold_in_every_match():
     assert secrets.trigram_query(r"[0-9a-f]+") is None
     assert secrets.trigram_query(r"AKIA[A-Z0-9]+") == [frozenset({"aki", "kia"})]
@@ -247,6 +253,23 @@ def test_leaks_against_a_loop(spark):
     assert decontaminate.find_leaks(spark.createDataFrame(docs, DOCS), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_odd_benchmarks_and_documents(spark, monkeypatch):
+    item = "one very special question about the seven blue lakes in the north"
+    items = [(None, item), (4, item), (4, item), (5, None), (6, ""), (None, "?!"), (7, "another question on how many moons there are tonight")]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("score", F.lit(1))
+    long = "so it goes on " * 40_000 + item.upper() + " and on" * 5
+    docs = spark.createDataFrame([(1, long, "s"), (None, item, "s"), (2, "nothing of it here at all in these few words", None), (1, None, "s"), (3, "", "s"), (1, "other words", "s")], DOCS)
+    docs = docs.withColumn("item_id", F.lit("mine")).withColumn("terms", F.lit(1))
+    for most in (decontaminate.ITEMS, 2):
+        monkeypatch.setattr(decontaminate, "ITEMS", most)
+        got = sorted(((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()), key=str)
+        assert got == sorted([(i, x) for i in (1, None) for x in (None, 4, 4)], key=str)
+        kept = decontaminate.drop_leaking(docs, bench)
+        assert kept.columns == docs.columns and sorted(((r["doc_id"], (r["text"] or "")[:5]) for r in kept.collect()), key=str) == sorted([(1, ""), (1, "other"), (2, "nothi"), (3, "")], key=str)
+    assert decontaminate.find_leaks(empty_docs(spark), bench).count() == 0 == decontaminate.drop_leaking(empty_docs(spark), bench).count()
+    assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0 and decontaminate.drop_leaking(docs, bench.limit(0)).count() == docs.count()
+
+
 def test_wand_finds_what_full_scoring_finds(monkeypatch):
     rng = random.Random(9)
     items = [(i, " ".join(rng.choices([f"w{k}" for k in range(60)], k=rng.randint(3, 25)))) for i in range(200)]
