@@ -283,7 +283,7 @@ def read_document(spark, path: str, doc_id: int) -> np.ndarray | None:
 
 
 def token_files(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int = 1) -> DataFrame:
-    """Writes docs to new files in the shared folder and reads them back (see write_tokens and read_tokens)."""
+    """Writes docs to new files in the shared folder and reads them back (see write_tokens and read_tokens). The files stay there."""
     path = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, tokenizer, vocabulary, end_id)
     return read_tokens(docs.sparkSession, path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fairlead.llm import jaccard, mixing, queries, substrings, tokens
+from fairlead.llm.common import stored
 from fairlead.llm.graph import components
 
 SF = "/root/testdata/sf0.001"
@@ -397,7 +398,7 @@ def test_pipeline_keeps_columns_and_its_decisions_take_effect(spark):
     docs, before = spark.read.parquet(f"{SF}/documents.parquet"), None
     columns = docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = corpus_pipeline.stored(stage(spark, docs, SF), "test")
+        out = stored(stage(spark, docs, SF), "test")
         assert out.columns == columns, name
         if name != "mixing sources":
             assert out.join(docs, "doc_id", "left_anti").count() == 0 and 0 < out.count() <= docs.count()
@@ -408,11 +409,19 @@ def test_pipeline_keeps_columns_and_its_decisions_take_effect(spark):
     assert len(last) == docs.count() and sum(r["n_tokens"] for r in last) == max(r["start"] + r["n_tokens"] for r in last)
 
 
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
+    none(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
 def test_pipeline_survives_odd_documents(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
     docs = odd(spark)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)), "test")
+        docs = stored(stage(spark, docs, str(tmp_path)), "test")
         assert docs.columns == odd(spark).columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()

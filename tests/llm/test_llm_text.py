@@ -343,6 +343,35 @@ def test_all_notices_of_a_block_are_reported():
     assert [(g[1], g[5]) for g in scanner.scan(f"{edited} {edited}\n{edited}")] == [("GPL-3.0", "free")] * 3
 
 
+def test_no_place_is_lost_to_cues_or_compression():
+    """Against every notice at every place of every text, without cues, blocks or compression."""
+    rng, scanner = random.Random(21), licenses.Scanner()
+    prose, texts = PROSE.split(), []
+    for name, notice in licenses.NOTICES.items():
+        for _ in range(6):
+            words = notice.split()
+            for _ in range(rng.randint(0, max(1, len(words) // 8))):
+                k = rng.randrange(len(words))
+                words[k : k + rng.randint(0, 1)] = rng.choices(prose, k=rng.randint(0, 1))
+            k = rng.randrange(len(prose) - 40)
+            texts.append(" ".join([*prose[k : k + rng.randint(0, 40)], *words, *rng.choices(prose, k=rng.randint(0, 30))]))
+    texts += [" ".join(rng.choices([w for t in licenses.NOTICES.values() for w in t.split()], k=120)) for _ in range(20)]
+    found = 0
+    for text in texts:
+        words = licenses._words(text)
+        # Places that begin with a word of the notice; those that begin before it say the same or less.
+        places = ((k, s, licenses._aligned(notice, words, s, len(words))) for k, (notice, _) in scanner.notices.items() for s in range(len(words)))
+        want = {(k, s) for k, s, pairs in places if pairs and pairs[0][1] == s}
+        got = {(k, s) for k, starts, end in scanner.blocks(words) for s in starts}
+        assert want <= got
+        for k, starts, end in scanner.blocks(words):
+            assert want.isdisjoint((k, s) for s in starts) or scanner.saved(k, " ".join(words[starts[0] : end])) > 0
+        found += len(want)
+        told = {(g[0], g[1]) for g in scanner.scan(text)}
+        assert bool(told) == bool(want)
+    assert found > 80
+
+
 def test_given_notices_are_searched_in_whole_texts():
     own = {"plain": "Anyone may do with this what they like.", "long": "Permission comes first. " + PROSE, "none": "..."}
     scanner = licenses.Scanner(own)
