@@ -82,6 +82,7 @@ def parse_date_text(c: Column | str, year: str = "2026") -> Column:
     text = F.trim(col(c))
     got = lambda p, i: F.regexp_extract(text, p, i)
     iso = lambda d: F.date_format(d, "yyyy-MM-dd")
+    # The eight patterns and their order.
     out = lambda a, b=None: F.when(a.isNotNull() & (F.lit(True) if b is None else b.isNotNull()), F.struct(a.alias("start"), (F.lit("") if b is None else b).alias("end")))
     full, weekday, at, alone, month = (
         rf"(?iu){_MONTH}\s+(\d{{1,2}}),?\s+(\d{{4}})",

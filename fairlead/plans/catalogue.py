@@ -232,11 +232,11 @@ def q_next_occurrence(spark, d):
     return feeds.next_occurrences(services, occ, n, F.lit(_NOW).cast("timestamp_ntz")).select("service_id", "occurrence_id", "start_at", "location_name")
 
 
-@query("SELECT s_suppkey AS id, n_name AS venue_name FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey AND n_nationkey % 2 = 0 WHERE s_acctbal >= 0")
+@query("SELECT s_suppkey AS id, n_name AS venue_name FROM supplier LEFT JOIN nation ON n_nationkey + 3 = s_nationkey WHERE s_acctbal >= 0")
 def q_left_join_venue(spark, d):
     null = F.lit(None).cast("string")
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("venue_id"), null.alias("deleted_at"), F.lit("ACTIVE").alias("status"), F.col("s_acctbal").alias("date_time"))
-    v = table(spark, d, "nation").filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), null.alias("address"), null.alias("city"), null.alias("state"), null.alias("lat"), null.alias("lon"))
+    v = table(spark, d, "nation").select((F.col("n_nationkey") + 3).alias("id"), F.col("n_name").alias("name"), null.alias("address"), null.alias("city"), null.alias("state"), null.alias("lat"), null.alias("lon"))
     return feeds.active_clubs(s, v, F.lit(0.0)).select("id", "venue_name")
 
 
@@ -319,12 +319,15 @@ def q_content_cache_misses(spark, d):
 _COUNT = lambda p: f"len(regexp_extract_all(t, '{_pattern(p)}'))"
 
 
-@query(f"""WITH d AS (SELECT doc_id, source, {_ASCII} AS t FROM documents), c AS (SELECT *, {_COUNT(taxonomy.STEM_STRONG)} AS s, {_COUNT(taxonomy.STEM_MODERATE)} AS m, {_COUNT(taxonomy.YOUTH)} AS y, {_COUNT(taxonomy.NOISE)} AS n FROM d)
-SELECT doc_id, CASE WHEN source = 'src1' THEN 1.0 WHEN source = 'src2' THEN 0.0 ELSE greatest(0, least(1, least(s * 0.3::DOUBLE, 0.6) + least(m * 0.1::DOUBLE, 0.3) + least(y * 0.15::DOUBLE, 0.4) - n * 0.3::DOUBLE)) END::DECIMAL(9, 4) AS score FROM c""")
+@query(f"""WITH d AS (SELECT doc_id, source, lang, {_ASCII} AS t FROM documents), c AS (SELECT *, {_COUNT(taxonomy.STEM_STRONG)} AS s, {_COUNT(taxonomy.STEM_MODERATE)} AS m, {_COUNT(taxonomy.YOUTH)} AS y, {_COUNT(taxonomy.NOISE)} AS n FROM d)
+SELECT doc_id, CASE WHEN source = 'src1' THEN 1.0 WHEN source = 'src2' THEN 0.0 ELSE greatest(0, least(1, least(s * 0.3::DOUBLE, 0.6) + least(m * 0.1::DOUBLE, 0.3) + least(y * 0.15::DOUBLE, 0.4) - n * 0.3::DOUBLE
+  + CASE lang WHEN 'de' THEN 0.3::DOUBLE WHEN 'fr' THEN 0.1 WHEN 'es' THEN 0.2 ELSE 0 END + CASE WHEN doc_id % 4 = 0 THEN 0.15::DOUBLE ELSE 0 END)) END::DECIMAL(9, 4) AS score FROM c""")
 def q_relevance_score(spark, d):
-    t = table(spark, d, "documents").select("doc_id", ascii_text().alias("t"), "source")
-    none = F.lit("")
-    r = taxonomy.relevance("t", none, "source", none, none, none, included=["src1"], excluded=["src2"])
+    t = table(spark, d, "documents").select("doc_id", ascii_text().alias("t"), "source", "lang")
+    none, kinds = F.lit(""), [k[0] for k, _ in taxonomy.ORG_BONUS]
+    org_type = F.when(F.col("lang") == "de", kinds[0]).when(F.col("lang") == "es", kinds[1]).when(F.col("lang") == "fr", kinds[2]).otherwise("x")
+    url = F.when(F.col("doc_id") % 4 == 0, "https://x/Workshops/1").otherwise("https://x/about")
+    r = taxonomy.relevance("t", none, "source", org_type, none, url, included=["src1"], excluded=["src2"])
     return t.select("doc_id", r["score"].cast("decimal(9,4)").alias("score"))
 
 
@@ -349,18 +352,6 @@ def q_ladder(spark, d):
     return e.select("url", "title", "description", "start", F.element_at("field_provenance", "title")["confidence"].alias("title_confidence"))
 
 
-@query()
-def q_listing_links(spark, d):
-    return discovery.listing_links(_landed(spark, d))
-
-
-@query()
-def q_hub_candidates(spark, d):
-    p = _landed(spark, d)
-    known = p.filter("page_seq % 2 = 0").select(F.col("source_id").alias("org_name"), F.col("url").alias("site_url"))
-    return export.candidate_stubs(discovery.new_candidates(discovery.hub_candidates(p), known)).drop("text")
-
-
 _HOST = "lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1))"
 
 
@@ -379,7 +370,9 @@ SELECT c_custkey, array_to_string(list_filter([m[c_nationkey::VARCHAR], m[(c_nat
 def q_entity_resolve(spark, d):
     n = table(spark, d, "nation").agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string").alias("key"), F.struct(F.col("n_name").alias("name")).alias("value")))).alias("catalogue"))
     ids = F.array(*[(F.col("c_nationkey") + k).cast("string") for k in (0, 20, 1)])
-    c = table(spark, d, "customer").join(F.broadcast(n.withColumn("one", F.lit(1))), F.lit(1) == F.col("one"))
+    # The catalogue comes with each page; here it is one value, a scalar subquery.
+    n.createOrReplaceTempView("fairlead_catalogue")
+    c = table(spark, d, "customer").withColumn("catalogue", F.expr("(select catalogue from fairlead_catalogue)"))
     return c.select("c_custkey", F.array_join(feeds.resolve_names(ids, F.col("catalogue")), "|").alias("names"))
 
 
@@ -399,11 +392,11 @@ def q_rrule_weekly(spark, d):
 _CLEAN = r"regexp_replace(lower(rtrim(trim(url), '/')), '/\d{4}-\d{2}-\d{2}$', '')"
 
 
-@query(f"""WITH p AS (SELECT page_id, {_CLEAN} AS k FROM pages) SELECT page_id, 0 AS part FROM p WHERE page_id % 3 = 0
-UNION ALL SELECT page_id, 1 FROM p WHERE page_id % 2 = 0 AND k NOT IN (SELECT k FROM p WHERE page_id % 3 = 0)""")
+@query(f"""WITH p AS (SELECT page_id, {_CLEAN} AS k, {_HOST} < 'm' AS early FROM pages) SELECT page_id, 0 AS part FROM p WHERE early
+UNION ALL SELECT page_id, 1 FROM p WHERE k NOT IN (SELECT k FROM p WHERE early)""")
 def q_merge_priority(spark, d):
     p = table(spark, d, "pages")
-    return legacy.merge_by_url(p.filter("page_id % 3 = 0").drop("html"), p.filter("page_id % 2 = 0")).select("page_id", "part")
+    return legacy.merge_by_url(p.filter(text.domain_of("url") < "m").drop("html"), p).select("page_id", "part")
 
 
 _FILES = "CASE page_id % 6 WHEN 0 THEN 'events-sitemap.xml' WHEN 1 THEN 'course_list.xml' WHEN 2 THEN 'post-1.xml' WHEN 3 THEN 'page-2.xml' WHEN 4 THEN 'authors.xml' ELSE 'zzz.xml' END"

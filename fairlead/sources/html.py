@@ -18,7 +18,8 @@ from ..schema import as_events
 
 SCAN = 20_000
 _DAY = re.compile(r"(\d{4})-(\d{2})-(\d{2})")
-_BODY = re.compile(rf"(?:(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day,?\s+)?({'|'.join(MONTHS)})\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s*(\d{{4}})", re.I)
+#: A day in prose, whatever stands before the month.
+_BODY = re.compile(rf"({'|'.join(MONTHS)})\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s*(\d{{4}})", re.I)
 _VOID = {"br", "img", "hr", "meta", "link", "input", "source", "area", "base", "col", "embed", "track", "wbr"}
 
 
