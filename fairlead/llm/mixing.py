@@ -15,17 +15,20 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, stored, word_count
 
+#: Documents of a source, about, that are offered the words still wanted at once.
+NEXT = 200
 #: Slots of the rank at each of two levels: what a source's sums come in.
 SLOTS = 256
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
-    """(source, source_size) -> with target: weights repeat over the sources by code point, null last; a target stops at
+    """(source, source_size, docs) -> with target: weights repeat over the sources by code point, null last; a target stops at
     cap * source_size and the excess goes to the others by weight until none is above. One row for each source meets in one
     task; documents never do."""
     by_name, n = Window.orderBy(F.col("source").asc_nulls_last()), len(weights)
@@ -41,7 +44,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap
         .withColumn("capped", F.col("limit") <= F.col("weight") * F.col("level"))
     )
     level = F.min(F.when(~F.col("capped"), F.struct("limits_before", "level"))).over(everyone)["level"]
-    return s.withColumn("target", F.when(F.col("capped"), F.col("limit")).otherwise(F.col("weight") * level)).select("source", "source_size", "target")
+    return s.withColumn("target", F.when(F.col("capped"), F.col("limit")).otherwise(F.col("weight") * level)).select("source", "source_size", "docs", "target")
 
 
 def _with(left: DataFrame, right: DataFrame, *also: str, small: bool, how: str = "inner") -> DataFrame:
@@ -76,6 +79,32 @@ def _prefix(cand: DataFrame, small: bool) -> DataFrame:
         cand = _with(cand.drop("before").withColumn(slot, rank), ends, slot, small=small).select("source", "wanted", "before", "x", "size")
 
 
+STATE = ("wanted", "left", "low", "at", "few", "stride")
+FINISHED = "source string, wanted long, left long, low double, at double, few double, stride double, high double"
+
+
+def _finish(rows: pd.DataFrame) -> pd.DataFrame:
+    """The stretches of the rank (low to high, sizes up to wanted) in which a source's documents are taken, from the next documents
+    in order: each is taken if it fits in the words left. The last stretch stays open (no high) unless words are few, or the order
+    is at its end. Documents with the same rank are taken together."""
+    told = rows[rows["n"] == 0].iloc[0]
+    source, (wanted, left, low, at, few, stride) = told["source"], (told[c] for c in STATE)
+    out, done = [], False
+    for x, g in rows[rows["n"] > 0].groupby("x", sort=True):
+        g = g[g["size"] <= wanted]
+        words = int((g["size"] * g["n"]).sum())
+        if words <= left:
+            left -= words
+            continue
+        out.append((source, wanted, 0, low, 0.0, few, stride, x))
+        wanted, low = left, x
+        if done := left < few:
+            break
+    if not done:
+        out.append((source, wanted, left, low, at + stride, few, stride, 2.0 if at + stride >= 1 else None))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in FINISHED.split(", ")]).astype({"wanted": "int64", "left": "int64"})
+
+
 def random_number(doc_id: Column, seed: int) -> Column:
     """Between 0 and 1, from a hash of the id."""
     digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string"))), 1, 13)
@@ -86,7 +115,7 @@ def _sampler(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     """A function that adds source_size, target and copies to a frame with id, source, size and u."""
     keyed = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), random_number(F.col(id_col), seed).alias("u")]
     base = stored(docs.select(*keyed), "mix-sizes")
-    targets = stored(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
+    targets = stored(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")), weights, cap), "mix-targets")
     small = targets.count() <= BROADCAST_ROWS
 
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -97,21 +126,28 @@ def _sampler(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     def ranked(rows: DataFrame) -> DataFrame:
         return _with(rows, t, small=small, how="left").withColumn("x", F.when(F.col("p") > 0, odds / (1 + odds)))
 
+    # How far the rank goes on, at the place where a sample ends (one half, or nearly), until NEXT more documents have come.
+    stride = F.lit(float(NEXT)) / F.greatest(F.lit(1.0), 4 * F.col("p") * (1 - F.col("p")) * F.col("docs"))
     few = F.greatest(F.lit(1.0), F.col("target") * F.lit(tolerance))
-    cuts, steps = stored(t.filter("wanted > 0").select("source", "wanted", F.lit(-1.0).alias("low"), few.alias("few")), "mix-pass"), []
-    while not cuts.isEmpty():
-        cand = _with(ranked(base).drop("wanted").filter("x is not null and size > 0"), cuts, small=small).filter("size <= wanted and x > low").select("source", "wanted", "x", "size")
-        ends = _prefix(cand, small).withColumnRenamed("x", "high")
-        # The document at `high` doesn't fit: the next pass goes on behind it with the words left.
-        cuts = stored(_with(cuts, ends, small=small, how="left"), "mix-pass")
-        steps.append(cuts.select("source", F.struct("wanted", "low", F.coalesce("high", F.lit(2.0)).alias("high")).alias("take")))
-        cuts = cuts.filter("high is not null").select("source", (F.col("wanted") - F.col("before")).alias("wanted"), F.col("high").alias("low"), "few").filter("wanted >= few")
-    takes = reduce(DataFrame.unionByName, steps).groupBy("source").agg(F.collect_list("take").alias("takes")) if steps else None
+    start = stored(t.filter("wanted > 0").select("source", "wanted", F.lit(-1.0).alias("low"), few.alias("few"), stride.alias("stride")), "mix-start")
+    sized = ranked(base).drop("wanted").filter("x is not null and size > 0")
+    ends = _prefix(_with(sized, start, small=small).filter("size <= wanted").select("source", "wanted", "x", "size"), small).withColumnRenamed("x", "high")
+    # Up to the document at `high` all that fit are taken; it doesn't, and the rest is offered to those behind it.
+    first = stored(_with(start, ends, small=small, how="left"), "mix-first")
+    steps = [first.select("source", "wanted", "low", F.coalesce("high", F.lit(2.0)).alias("high"))]
+    left = F.col("wanted") - F.col("before")
+    state = first.filter("high is not null").select("source", left.alias("wanted"), left.alias("left"), F.col("high").alias("low"), F.col("high").alias("at"), "few", "stride").filter("left >= few")
+    while not (state := stored(state, "mix-state")).isEmpty():
+        near = _with(sized, state, small=small).filter("size <= wanted and x > at and x <= at + stride").groupBy("source", "x", "size").agg(F.count("*").alias("n"))
+        rows = near.select("source", "x", "size", "n").withColumns({c: F.lit(None).cast("double") for c in STATE})
+        told = state.withColumns({"x": F.lit(-1.0), "size": F.lit(0).cast("long"), "n": F.lit(0).cast("long")}).withColumns({c: F.col(c).cast("double") for c in STATE})
+        done = stored(rows.unionByName(told.select(*rows.columns)).groupBy("source").applyInPandas(_finish, FINISHED), "mix-finish")
+        steps.append(done.filter("high is not null").select("source", "wanted", "low", "high"))
+        state = done.filter("high is null").select("source", "wanted", "left", "low", "at", "few", (2 * F.col("stride")).alias("stride"))
+    takes = reduce(DataFrame.unionByName, steps).groupBy("source").agg(F.collect_list(F.struct("wanted", "low", "high")).alias("takes"))
 
     def sampled(rows: DataFrame | None = None) -> DataFrame:
         out = ranked(base if rows is None else rows)
-        if takes is None:
-            return out.withColumn("copies", F.col("whole"))
         fits = F.exists("takes", lambda t: (F.col("size") <= t["wanted"]) & (F.col("x") > t["low"]) & (F.col("x") < t["high"]))
         copies = F.col("whole") + F.coalesce(fits & (F.col("size") > 0), F.lit(False)).cast("long")
         return _with(out, takes, small=small, how="left").withColumn("copies", copies)

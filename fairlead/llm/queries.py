@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_table, spread
 from . import chat, decontaminate, fingerprints, jaccard, licenses, mixing, secrets, substrings, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -19,21 +24,21 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprint_edits(documents(spark, sf_dir))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("secrets", lambda s: s["kind_order"] < len(secrets.BASE))
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
@@ -58,24 +63,24 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    out = substrings.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.token_files(table(spark, sf_dir, "documents"), tokenizer(), 49_408, end_id=1)
+    return tokens.token_files(documents(spark, sf_dir), tokenizer(), 49_408, end_id=1)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(documents(spark, sf_dir))
 
 
 def _secrets_sql() -> str:
