@@ -7,6 +7,7 @@ import logging
 from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from . import config
 from .operators import export, observe
@@ -29,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--today", type=date.fromisoformat, default=date.today())
     found = sub.add_parser("discover-candidates", help="queue organisations that hub pages name")
     found.add_argument("--candidates-dir", required=True)
+    found.add_argument("--hubs-dir", help="registry of hubs; pages of others are left out")
     for s in (run, found):
         s.add_argument("--pages", required=True, help="landed pages: source_id, page_seq, url, status, body")
         s.add_argument("--registry-dir", required=True)
@@ -44,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("fairlead").getOrCreate()
     sources, pages = registry.load_sources(spark, a.registry_dir), spark.read.parquet(a.pages)
     if a.command == "discover-candidates":
+        if a.hubs_dir:
+            pages = pages.join(registry.load_hubs(spark, a.hubs_dir).select(F.col("hub_id").alias("source_id")), "source_id", "left_semi")
         stubs = pipeline.discover_candidates(pages, sources, registry.load_candidates(spark, a.candidates_dir))
         print(f"{export.write_candidates(stubs, a.candidates_dir)} new candidates")
         return 0

@@ -93,9 +93,15 @@ SITEMAPS = (
 )
 
 
+def is_ascii(c: Column | str) -> Column:
+    return F.length(col(c)) == F.octet_length(col(c))
+
+
 def matches(c: Column | str, pattern: str) -> Column:
-    """Case is folded for letters of any script; word boundaries are Unicode ones."""
-    return F.coalesce(F.rlike(col(c), F.lit(f"(?iuU){pattern}")), F.lit(False))
+    """Case is folded for letters of any script; word boundaries are Unicode ones. ASCII texts, where that makes no difference, are
+    spared the cost."""
+    found = F.when(is_ascii(c), F.rlike(col(c), F.lit(f"(?i){pattern}"))).otherwise(F.rlike(col(c), F.lit(f"(?iuU){pattern}")))
+    return F.coalesce(found, F.lit(False))
 
 
 def tag_by_keywords(c: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
@@ -175,7 +181,7 @@ def relevance(title: Column | str, description: Column | str, org: Column | str,
     """[T7] struct<relevant, score, reason>; organisations in `included` score 1, those in `excluded` 0. Relevance is decided
     before rounding; the score is not rounded here."""
     text = F.concat_ws(" ", *[F.coalesce(col(c), F.lit("")) for c in (title, description, audience)])
-    count = lambda p: F.regexp_count(text, F.lit(f"(?iuU){p}"))
+    count = lambda p: F.when(is_ascii(text), F.regexp_count(text, F.lit(f"(?i){p}"))).otherwise(F.regexp_count(text, F.lit(f"(?iuU){p}")))
     strong, moderate, youth, noise = map(count, (STEM_STRONG, STEM_MODERATE, YOUTH, NOISE))
     score = F.least(strong * 0.3, F.lit(0.6)) + F.least(moderate * 0.1, F.lit(0.3)) + F.least(youth * 0.15, F.lit(0.4)) - noise * 0.3
     bonus = F.lit(0.0)

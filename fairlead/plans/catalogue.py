@@ -15,6 +15,7 @@ from ..functions import dates, identity, taxonomy, text
 from ..operators import export, legacy, normalize, observe, serve, state
 from ..schema import as_events
 from ..sources import calendars, discovery, feeds, html
+from ..sources.tables import read_table, spread
 
 TODAY = date(2024, 1, 15)
 T = "DATE '2024-01-15'"
@@ -33,7 +34,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return read_table(spark, d, name)
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
@@ -159,7 +160,7 @@ def _tags_sql(rules, default: str) -> str:
 
 @query(f"WITH d AS (SELECT doc_id, {_ASCII} AS t FROM documents) SELECT doc_id, {_tags_sql(taxonomy.AREAS, taxonomy.DEFAULT_AREA)} AS areas, {_tags_sql(taxonomy.AGES, '')} AS ages FROM d")
 def q_taxonomy_areas(spark, d):
-    t = table(spark, d, "documents").select("doc_id", ascii_text().alias("t"))
+    t = spread(table(spark, d, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", ascii_text().alias("t"))
     return t.select("doc_id", F.array_join(taxonomy.areas_of_interest("t"), "|").alias("areas"), F.array_join(taxonomy.age_grade_level("t"), "|").alias("ages"))
 
 
@@ -168,7 +169,7 @@ _TYPE_SQL = "CASE " + " ".join(f"WHEN regexp_matches(t, '{_pattern(p)}') THEN '{
 
 @query(f"WITH d AS (SELECT doc_id, {_ASCII} AS t FROM documents) SELECT doc_id, {_TYPE_SQL} AS kind FROM d")
 def q_opportunity_type(spark, d):
-    t = table(spark, d, "documents").select("doc_id", ascii_text().alias("t"))
+    t = spread(table(spark, d, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", ascii_text().alias("t"))
     return t.select("doc_id", taxonomy.opportunity_type("t").alias("kind"))
 
 
@@ -199,7 +200,7 @@ def q_current_filter(spark, d):
 @query(f"""WITH d AS (SELECT doc_id, {_ASCII} AS t, source FROM documents) SELECT doc_id, regexp_matches(t, '{_pattern(taxonomy.INTERNSHIP)}') AS internship,
   regexp_matches(t, '{_pattern(taxonomy.STEM_JOB)}') AS stem, source IN ('src1', 'src10') AS local FROM d""")
 def q_internship_classify(spark, d):
-    t = table(spark, d, "documents").select("doc_id", ascii_text().alias("t"), "source")
+    t = spread(table(spark, d, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", ascii_text().alias("t"), "source")
     words = F.array(F.lit("SRC10"))
     return t.select("doc_id", taxonomy.is_internship("t", F.lit("")).alias("internship"), taxonomy.is_stem_job("t", F.lit("")).alias("stem"), (taxonomy.is_local("source", words) | (F.col("source") == "src1")).alias("local"))
 
@@ -323,7 +324,7 @@ _COUNT = lambda p: f"len(regexp_extract_all(t, '{_pattern(p)}'))"
 SELECT doc_id, CASE WHEN source = 'src1' THEN 1.0 WHEN source = 'src2' THEN 0.0 ELSE greatest(0, least(1, least(s * 0.3::DOUBLE, 0.6) + least(m * 0.1::DOUBLE, 0.3) + least(y * 0.15::DOUBLE, 0.4) - n * 0.3::DOUBLE
   + CASE lang WHEN 'de' THEN 0.3::DOUBLE WHEN 'fr' THEN 0.1 WHEN 'es' THEN 0.2 ELSE 0 END + CASE WHEN doc_id % 4 = 0 THEN 0.15::DOUBLE ELSE 0 END)) END::DECIMAL(9, 4) AS score FROM c""")
 def q_relevance_score(spark, d):
-    t = table(spark, d, "documents").select("doc_id", ascii_text().alias("t"), "source", "lang")
+    t = spread(table(spark, d, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", ascii_text().alias("t"), "source", "lang")
     none, kinds = F.lit(""), [k[0] for k, _ in taxonomy.ORG_BONUS]
     org_type = F.when(F.col("lang") == "de", kinds[0]).when(F.col("lang") == "es", kinds[1]).when(F.col("lang") == "fr", kinds[2]).otherwise("x")
     url = F.when(F.col("doc_id") % 4 == 0, "https://x/Workshops/1").otherwise("https://x/about")
@@ -338,11 +339,11 @@ for _e, _t in text.ENTITIES:
 
 @query(f"SELECT page_id, {_STRIP} AS body FROM pages")
 def q_strip_html(spark, d):
-    return table(spark, d, "pages").select("page_id", text.strip_html("html").alias("body"))
+    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", text.strip_html("html").alias("body"))
 
 
 def _landed(spark, d):
-    return table(spark, d, "pages").select(text.domain_of("url").alias("source_id"), F.col("page_id").alias("page_seq"), "url", F.lit(200).alias("status"), F.col("html").alias("body"))
+    return spread(table(spark, d, "pages")).select(text.domain_of("url").alias("source_id"), F.col("page_id").alias("page_seq"), "url", F.lit(200).alias("status"), F.col("html").alias("body"))
 
 
 @query()

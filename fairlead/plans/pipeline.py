@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich as enriching
 from ..operators.export import candidate_stubs, published
-from ..operators.normalize import instances_of, to_opportunities
+from ..operators.normalize import as_lookup, instances_of, to_opportunities
 from ..operators.observe import source_yield
 from ..sources import calendars, discovery, feeds, html
 
@@ -32,14 +32,14 @@ class Run:
 def acquire(pages: DataFrame, sources: DataFrame, adapters: dict[str, Callable[[DataFrame], DataFrame]] = ADAPTERS) -> DataFrame:
     """[A7, A8, O4, U1] Canonical events of all sources; an unknown adapter gives none. seq follows the order of the registry, the
     page and the record, whatever finishes first."""
-    typed = pages.join(F.broadcast(sources.select("source_id", "source_seq", "adapter_type", F.coalesce(F.col("acquisition_policy")["max_urls"].cast("int"), F.lit(300)).alias("max_urls"))), "source_id")
+    typed = pages.join(as_lookup(sources.select("source_id", "source_seq", "adapter_type", F.coalesce(F.col("acquisition_policy")["max_urls"].cast("int"), F.lit(300)).alias("max_urls"))), "source_id")
     typed = feeds.cap_per_source(typed, F.col("max_urls"))
     kinds = [r[0] for r in sources.select("adapter_type").distinct().collect()]
     parts = [adapters[k](typed.filter(F.col("adapter_type") == k).select(*pages.columns)) for k in sorted(kinds) if k in adapters]
     if not parts:
         return feeds.tec(pages.limit(0))
     events = reduce(DataFrame.unionByName, parts)
-    order = F.broadcast(sources.select("source_id", "source_seq"))
+    order = as_lookup(sources.select("source_id", "source_seq"))
     return events.join(order, "source_id").withColumn("seq", F.col("source_seq") * 1_000_000_000_000 + F.col("seq")).drop("source_seq").select(*events.columns)
 
 

@@ -1,5 +1,6 @@
 """Landed pages as a stream: each micro-batch runs the batch chain and is merged into the event store. An extension: the reference
-has no stream operators. Replayed batches change nothing, since the merge is by identity and the batch's own time."""
+has no stream operators. Replayed batches change nothing: the merge is by identity, and the time at which a batch was first seen is
+kept beside the checkpoint and used again."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.state import EventStore
+from ..operators.state import EventStore, Versions
 from ..plans.pipeline import acquire
 from ..schema import RAW_PAGE
 
@@ -18,9 +19,17 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 100) ->
     return spark.readStream.schema(RAW_PAGE).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def first_seen(spark: SparkSession, path: str, now: datetime) -> datetime:
+    """The time noted at the path, which is `now` if none is."""
+    noted = Versions(spark, path)
+    if (known := noted.latest()) is None:
+        known = noted.write(spark.createDataFrame([(now,)], "seen timestamp_ntz"))
+    return known.first()["seen"]
+
+
 def into_store(pages: DataFrame, sources: DataFrame, store: EventStore, checkpoint: str, seen_at=datetime.now) -> StreamingQuery:
     def merge(batch: DataFrame, number: int) -> None:
-        store.upsert(acquire(batch, sources), seen_at())
+        store.upsert(acquire(batch, sources), first_seen(batch.sparkSession, f"{checkpoint}-seen/{number}", seen_at()))
 
     return pages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

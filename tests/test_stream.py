@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from fairlead.operators.state import EventStore
-from fairlead.streaming.incremental import into_store, stream_pages
+from fairlead.streaming.incremental import first_seen, into_store, stream_pages
 from tests.test_engine import ICS
 
 
@@ -16,3 +16,8 @@ def test_landed_pages_are_merged_once(spark, tmp_path):
         q.awaitTermination(120)
     rows = store.all_events()
     assert rows.count() == 55 and rows.filter("first_seen < last_seen").count() == 55
+
+
+def test_a_replayed_batch_keeps_its_time(spark, tmp_path):
+    at = str(tmp_path / "seen")
+    assert first_seen(spark, at, datetime(2026, 1, 1)) == first_seen(spark, at, datetime(2026, 1, 2)) == datetime(2026, 1, 1)
