@@ -124,13 +124,15 @@ def test_op3_fold_and_shape(spark):
 
 
 def test_learns_insults_in_any_script():
+    """Words of ten characters need a larger sample, in any script: from 300 clean documents some ordinary ones look like witnesses."""
     rng = random.Random(4)
-    for syllables, insult in ((["та", "ко", "ми", "ре", "су", "ло"], "грымзлик"), (["你", "好", "世", "界", "山", "水", "火", "风", "天", "地"], "笨蛋傻瓜")):
+    cases = ((["та", "ко", "ми", "ре", "су", "ло"], "грымзлик", 300), (["你", "好", "世", "界", "山", "水", "火", "风", "天", "地"], "笨蛋傻瓜", 1200), (list("abcdefghij"), "wxyz", 1200))
+    for syllables, insult, n in cases:
         word = lambda: "".join(rng.choices(syllables, k=rng.randint(3, 4)))
-        clean = [{word() for _ in range(30)} for _ in range(300)]
-        toxic = [{word() for _ in range(30)} | {insult} for _ in range(150)]
+        clean = [{word() for _ in range(30)} for _ in range(n)]
+        toxic = [{word() for _ in range(30)} | {insult} for _ in range(n // 2)]
         s = toxicity.Scorer(toxicity.fit(toxic, clean))
-        fresh = [" ".join(word() for _ in range(30)) for _ in range(50)]
+        fresh = [" ".join(word() for _ in range(30)) for _ in range(100)]
         assert (s.scores(fresh) < 0.5).mean() > 0.95 and (s.scores([f"{f} {insult}" for f in fresh]) > 0.5).mean() > 0.95
 
 
