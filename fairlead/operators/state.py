@@ -4,10 +4,13 @@ A new version is written beside the old one and named last, so a reader or a fai
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import effective_day
 from ..functions.identity import identity_key
@@ -28,6 +31,16 @@ class Versions:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
         return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS")))
 
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._path(f"{self.path}/{name}"))
+
+    def names(self, folder: str) -> list[str]:
+        at = self._path(f"{self.path}/{folder}".rstrip("/"))
+        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._path(f"{self.path}/{name}"), True)
+
     def latest(self) -> DataFrame | None:
         n = self.numbers()
         return self.spark.read.parquet(f"{self.path}/v{n[-1]}") if n else None
@@ -68,30 +81,73 @@ def prune_past(store: DataFrame, today: date | Column) -> DataFrame:
 
 
 class EventStore:
-    """[K1-K5]"""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.table = Versions(spark, path)
+    """[K1-K5] Rows lie in buckets by a hash of their identity, each in a folder of its own; the table `map` says which folder holds
+    a bucket now. An upsert stages its batch, reads and writes only the buckets that it touches, and then names them in a new version
+    of the map, so a run that fails changes nothing. Replaced folders stay until the next change, for readers of the version before.
+    Choose the number of buckets by the size of the store; a store keeps the number it was made with."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self._buckets = spark, path.rstrip("/"), buckets
+        self.map, self._files = Versions(spark, f"{self.path}/map"), Versions(spark, self.path)
+
+    def _places(self) -> tuple[int, dict[int, str], StructType | None]:
+        """The number of buckets, the folder of each that has rows, and the columns."""
+        got = self.map.latest()
+        rows = got.collect() if got is not None else []
+        shape = StructType.fromJson(json.loads(rows[0]["columns"])) if rows else None
+        return (rows[0]["buckets"] if rows else self._buckets), {r["bucket"]: r["folder"] for r in rows if r["folder"]}, shape
+
+    def _read(self, folders: Iterable[str], shape: StructType) -> DataFrame:
+        paths = [f"{self.path}/{f}" for f in folders]
+        return self.spark.read.schema(shape).parquet(*paths) if paths else self.spark.createDataFrame([], shape)
+
+    def _replace(self, rows: DataFrame, touched: set[int], buckets: int, places: dict[int, str]) -> None:
+        """Writes the rows as the touched buckets' new content; adaptive execution splits large buckets into several files."""
+        new = f"data{(self.map.numbers() or [0])[-1] + 1}"
+        rows.withColumn("bucket", _bucket(buckets)).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{new}")
+        now = {b: f for b, f in places.items() if b not in touched} | {int(n[7:]): f"{new}/{n}" for n in self._files.names(new) if n.startswith("bucket=")}
+        columns = rows.schema.json()
+        self.map.write(self.spark.createDataFrame([(b, f, buckets, columns) for b, f in sorted(now.items())] or [(0, "", buckets, columns)], "bucket int, folder string, buckets int, columns string").coalesce(1))
+        for data in self._files.names(""):
+            if data.startswith("data"):
+                for n in self._files.names(data):
+                    if n.startswith("bucket=") and f"{data}/{n}" not in {*places.values(), *now.values()}:
+                        self._files.delete(f"{data}/{n}")
 
     def upsert(self, events: DataFrame, seen_at: datetime) -> DataFrame:
-        return self.table.write(merge_events(self.table.latest(), events, seen_at))
+        buckets, places, shape = self._places()
+        staged = events.withColumn("identity", identity_key()).withColumn("bucket", _bucket(buckets))
+        staged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/staged")
+        touched = {int(n[7:]) for n in self._files.names("staged") if n.startswith("bucket=")}
+        batch = self._read([f"staged/bucket={b}" for b in sorted(touched)], staged.drop("bucket").schema).drop("identity")
+        old = self._read([f for b, f in places.items() if b in touched], shape) if shape else None
+        self._replace(merge_events(old, batch, seen_at), touched, buckets, places)
+        self._files.delete("staged")
+        return self.all_events()
 
     def all_events(self) -> DataFrame | None:
-        return self.table.latest()
+        _, places, shape = self._places()
+        return self._read(places.values(), shape) if shape else None
 
     def count(self) -> int:
-        got = self.table.latest()
+        got = self.all_events()
         return got.count() if got is not None else 0
 
     def prune(self, cutoff: datetime | None = None, today: date | None = None) -> int:
         """How many rows went."""
-        got = self.table.latest()
+        got = self.all_events()
         if got is None:
             return 0
         before = got.count()
         got = prune_unseen(got, cutoff) if cutoff is not None else got
         got = prune_past(got, today) if today is not None else got
-        return before - self.table.write(got).count()
+        buckets, places, _ = self._places()
+        self._replace(got, set(places), buckets, places)
+        return before - self.count()
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("identity"), F.lit(buckets)).cast("int")
 
 
 def latest_per(log: DataFrame, *keys: str, order: str = "seq") -> DataFrame:
