@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,40 +15,88 @@ from ..functions.identity import content_hash, identity_hash
 from ..functions.text import blob
 from ..schema import overlaid
 
-#: [E8, M5] Fields of a reply: recovered ones may be missing, classified ones and the verdict are always there.
-RECOVERED = {"description": "string", "start": "timestamp_ntz", "end": "timestamp_ntz", "location": "string", "cost": "string", "registration_url": "string"}
+#: [E8, M5] Fields of a reply, all of which must be there: recovered ones may be null, classified ones and the verdict may not.
+RECOVERED = {"start": "timestamp_ntz", "end": "timestamp_ntz", "all_day": "boolean", "location": "string", "cost": "string", "registration_url": "string"}
 CLASSIFIED = {"areas_of_interest": "array<string>", "age_grade_level": "array<string>", "cost_range": "string", "time_of_day": "array<string>"}
 REPLY = "struct<" + ",".join([f"`{n}`:{t}" for n, t in (RECOVERED | CLASSIFIED).items()] + ["relevant:boolean", "relevance_reason:string"]) + ">"
+#: Fields of an event that the client is told.
+ASKED = ("title", "description", "start", "end", "all_day", "location", "cost", "registration_url", "categories", "tags")
 MODEL_CONFIDENCE, RULE_CONFIDENCE = 0.7, 0.3
 
 
+#: [E8] Values that a classified field may take, where they are fixed.
+VOCABULARY = {
+    "areas_of_interest": [*[label for _, label in taxonomy.AREAS], "General Science"], "age_grade_level": [label for _, label in taxonomy.AGES],
+    "cost_range": ["Free", *[label for _, label in taxonomy.COST_CAPS], "Greater than $200"], "time_of_day": ["Morning", "Afternoon", "Evening", "All Day"],
+}
+
+
+def reply_schema() -> dict:
+    """[E8, M5] The JSON schema of a reply."""
+    text, verdict = {"type": "string"}, {"relevant": {"type": "boolean"}, "relevance_reason": {"type": "string"}}
+    fields = {n: {"type": ["boolean" if t == "boolean" else "string", "null"]} for n, t in RECOVERED.items()} | verdict
+    for n, t in CLASSIFIED.items():
+        fields[n] = {"type": "array", "items": text | {"enum": VOCABULARY[n]}} if t.startswith("array") else text | {"enum": [*VOCABULARY[n], ""]}
+    return {"type": "object", "properties": fields, "required": list(fields), "additionalProperties": False}
+
+
+def instructions(audience: str = "school-age youth", subject: str = "science, technology, engineering or mathematics") -> str:
+    """[E8] What a model is told before the records."""
+    values = "\n".join(f"- {n}: {'any of' if CLASSIFIED[n].startswith('array') else 'one of, or empty:'} {', '.join(v)}" for n, v in VOCABULARY.items())
+    return (
+        f"You check records of a directory of chances to learn {subject} for {audience}. Each record is JSON.\n"
+        f"Fill in {', '.join(RECOVERED)} where null, if the title or description says it; otherwise leave null. Invent nothing and keep what is given. Times are ISO 8601.\n"
+        f"Classify the record:\n{values}\n"
+        "Set relevant to whether it belongs in the directory, and relevance_reason to one short sentence that says why. Reply with the JSON object alone."
+    )
+
+
+def question(record: dict) -> str:
+    """[E8] What a model is told of one record, as `ask` passes it to the client."""
+    return json.dumps(record, indent=1, ensure_ascii=False)
+
+
+def _is_time(text: str) -> bool:
+    try:
+        return bool(datetime.fromisoformat(text))
+    except ValueError:
+        return False
+
+
 def valid_reply(text: str | None) -> str | None:
-    """[M6] The reply if it is an object with every classified field and the verdict, of the right types; else nothing."""
+    """[M6] The reply if it is an object with every field, of the right types, and readable times; else nothing."""
     try:
         d = json.loads(text or "")
     except ValueError:
         return None
-    lists = [n for n, t in CLASSIFIED.items() if t.startswith("array")]
-    ok = isinstance(d, dict) and isinstance(d.get("relevant"), bool) and isinstance(d.get("relevance_reason"), str) and isinstance(d.get("cost_range"), str)
-    ok = ok and all(isinstance(d.get(n), list) and all(isinstance(x, str) for x in d[n]) for n in lists)
-    return text if ok and all(d.get(n) is None or isinstance(d[n], str) for n in RECOVERED) else None
+    if not isinstance(d, dict) or not {*RECOVERED, *CLASSIFIED, "relevant", "relevance_reason"} <= d.keys():
+        return None
+    fits = {
+        "string": lambda v: isinstance(v, str),
+        "boolean": lambda v: isinstance(v, bool),
+        "timestamp_ntz": lambda v: isinstance(v, str) and _is_time(v),
+        "array<string>": lambda v: isinstance(v, list) and all(isinstance(x, str) for x in v),
+    }
+    needed = CLASSIFIED | {"relevant": "boolean", "relevance_reason": "string"}
+    return text if all(fits[t](d[n]) for n, t in needed.items()) and all(d[n] is None or fits[t](d[n]) for n, t in RECOVERED.items()) else None
 
 
 def ask(events: DataFrame, client: Callable[[dict], str]) -> DataFrame:
-    """[E1, V5] (identity, content_hash, reply) from the client (title and description in, JSON text out), many rows at once over
-    the cluster; reply is null where it failed or answered badly."""
+    """[E1, V5] (identity, content_hash, reply) from the client (a record with ASKED in, null where unknown; JSON text out), many
+    rows at once over the cluster; reply is null where it failed or answered badly."""
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             replies = []
-            for title, description in zip(b["title"], b["description"]):
+            for record in b["record"]:
                 try:
-                    replies.append(valid_reply(client({"title": title, "description": description})))
+                    replies.append(valid_reply(client(json.loads(record))))
                 except Exception:  # noqa: BLE001  a client may fail in any way; the row falls back
                     replies.append(None)
             yield pd.DataFrame({"identity": b["identity"], "content_hash": b["content_hash"], "reply": replies})
 
-    return events.select("identity", "content_hash", "title", "description").mapInPandas(f, "identity string, content_hash string, reply string")
+    known = [F.nullif(F.col(n), F.lit("")).alias(n) if n in ("location", "cost", "registration_url") else F.date_format(n, "yyyy-MM-dd'T'HH:mm:ss").alias(n) if n in ("start", "end") else F.col(n) for n in ASKED]
+    return events.select("identity", "content_hash", F.to_json(F.struct(*known), {"ignoreNullFields": "false"}).alias("record")).mapInPandas(f, "identity string, content_hash string, reply string")
 
 
 def keyed(events: DataFrame) -> DataFrame:

@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CLIFF = 0.5
 
 
+class Reporter(Protocol):
+    """[V3] Told what a run found for its sources, before anything is merged, and what it made of it, with the sources still named."""
+
+    def record_sources(self, sources: DataFrame, events: DataFrame) -> None: ...
+
+    def record_opportunities(self, opportunities: DataFrame) -> None: ...
+
+
+class YieldReporter:
+    """[V3] Keeps the (lazy) tables of one run and reports on them."""
+
+    def __init__(self) -> None:
+        self.sources = self.events = self.opportunities = None
+
+    def record_sources(self, sources: DataFrame, events: DataFrame) -> None:
+        self.sources, self.events = sources, events
+
+    def record_opportunities(self, opportunities: DataFrame) -> None:
+        self.opportunities = opportunities
+
+    def report(self, previous: DataFrame | None = None) -> DataFrame:
+        return source_yield(self.events, self.opportunities, self.sources, previous)
+
+
 def source_yield(events: DataFrame, opportunities: DataFrame, sources: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """[Y1-Y4, J8] (source_id, found, dated, slugs, previous_found, delta, new, dropped, zero_yield, cliff), one row per source, with
     zeros for silent ones. previous: source_id, found, slugs of the last run. The first run raises no alarm."""

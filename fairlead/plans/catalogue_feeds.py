@@ -133,25 +133,26 @@ def q_feed_postings(spark, d):
 
 
 @query(f"""SELECT event_id::VARCHAR AS external_id, event_type AS title, CASE WHEN event_id % 2 = 0 THEN 'Long ' || event_id ELSE 'brief' END AS description, true AS trusted, ts AS start,
-  CASE WHEN event_id % 3 = 0 THEN 'Main Street 1' ELSE 'Lab, Town' END AS location, 'c' AS categories, 32.5::DOUBLE AS latitude FROM events WHERE event_id % 11 <> 0 AND {_GOOD}""")
+  'Lab, Town' AS location, 'https://sign.up' AS registration_url, 'c' AS categories, 32.5::DOUBLE AS latitude FROM events WHERE event_id % 11 <> 0 AND {_GOOD}""")
 def q_feed_classes(spark, d):
-    """Rows of the class query. A description falls back to the brief one, a place to its name and city."""
+    """Rows of the class query. A description falls back to the brief one; a place is its name and city."""
     k = F.col("event_id")
     r = F.struct(
-        k.alias("occurrence_id"), _every(11, "", F.col("event_type")).alias("name"), F.when(k % 2 == 0, F.concat(F.lit("<i>Long</i> "), k.cast("string"))).alias("description"), F.lit("brief").alias("description_short"),
+        k.alias("service_id"), (k + 1).alias("occurrence_id"), _every(11, "", F.col("event_type")).alias("name"), F.when(k % 2 == 0, F.concat(F.lit("<i>Long</i> "), k.cast("string"))).alias("description"), F.lit("brief").alias("description_short"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("start_at"), F.when(k % 3 == 0, "Main Street 1").otherwise("").alias("formatted_address"), F.lit("Lab").alias("location_name"), F.lit("Town").alias("city"),
         F.lit("c").alias("category_name"), F.lit(32.5).alias("latitude"),
     )
-    got = feeds.class_rows(pages_of(table(spark, d, "events"), _user(), _page(), r, "event_id", "[%s]"))
-    return got.select("external_id", "title", "description", "trusted", "start", "location", F.array_join("categories", "|").alias("categories"), "latitude")
+    landed = pages_of(table(spark, d, "events"), _user(), _page(), r, "event_id", "[%s]").withColumn("config", F.create_map(F.lit("registration_url"), F.lit("https://sign.up")))
+    got = feeds.class_rows(landed)
+    return got.select("external_id", "title", "description", "trusted", "start", "location", "registration_url", F.array_join("categories", "|").alias("categories"), "latitude")
 
 
-@query(f"""SELECT event_id::VARCHAR AS external_id, event_type AS title, ts AS start, CASE WHEN event_id % 3 = 0 THEN 'Pub, Road 2' ELSE '' END AS location, 'Free' AS cost, 'https://m/' || event_id AS registration_url
+@query(f"""SELECT event_id::VARCHAR AS external_id, event_type AS title, ts AS start, CASE WHEN event_id % 3 = 0 THEN 'Pub, Town' ELSE '' END AS location, '' AS cost, 'https://m/' || event_id AS registration_url
 FROM events WHERE event_id % 11 <> 0 AND {_GOOD}""")
 def q_feed_clubs(spark, d):
     """Rows of the club query; a club without a known venue has no place."""
     k = F.col("event_id")
-    r = F.struct(k.cast("string").alias("id"), _every(11, "", F.col("event_type")).alias("title"), F.col("ts").cast("string").alias("date_time"), F.concat(F.lit("https://m/"), k.cast("string")).alias("event_url"), F.when(k % 3 == 0, "Pub").alias("venue_name"), F.when(k % 3 == 0, "Road 2").alias("address"))
+    r = F.struct(k.cast("string").alias("id"), _every(11, "", F.col("event_type")).alias("title"), F.col("ts").cast("string").alias("date_time"), F.concat(F.lit("https://m/"), k.cast("string")).alias("event_url"), F.when(k % 3 == 0, "Pub").alias("venue_name"), F.lit("Road 2").alias("address"), F.when(k % 3 == 0, "Town").alias("city"))
     got = feeds.club_rows(pages_of(table(spark, d, "events"), _user(), _page(), r, "event_id", "[%s]"))
     return got.select("external_id", "title", "start", "location", "cost", "registration_url")
 
@@ -376,7 +377,7 @@ def _client(event: dict) -> str:
     k = int(event["description"])
     if k % 5 == 0:
         raise TimeoutError
-    reply = {"relevant": k % 5 != 2, "relevance_reason": f"r{k % 3}", "cost_range": f"C{k % 3}", "areas_of_interest": ["A"], "age_grade_level": [], "time_of_day": ["Morning", "Evening"], "location": "Here" if k % 2 else None}
+    reply = {"relevant": k % 5 != 2, "relevance_reason": f"r{k % 3}", "cost_range": f"C{k % 3}", "areas_of_interest": ["A"], "age_grade_level": [], "time_of_day": ["Morning", "Evening"], "location": "Here" if k % 2 else None} | dict.fromkeys(("start", "end", "all_day", "cost", "registration_url"))
     return "{" if k % 5 == 1 else json.dumps(reply | ({"cost_range": 5} if k % 5 == 3 else {}))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import enrich as enriching
 from ..operators.export import candidate_stubs, published
 from ..operators.normalize import as_lookup, instances_of, to_opportunities
-from ..operators.observe import source_yield
+from ..operators.observe import Reporter, source_yield
 from ..sources import calendars, discovery, feeds, html
 
 #: [A7, V1] Adapters by type: landed pages to canonical events.
@@ -33,9 +33,15 @@ def acquire(pages: DataFrame, sources: DataFrame, adapters: dict[str, Callable[[
     """[A7, A8, O4, U1] Canonical events of all sources; an unknown adapter gives none. seq follows the order of the registry, the
     page and the record, whatever finishes first."""
     typed = pages.join(as_lookup(sources.select("source_id", "source_seq", "adapter_type", F.coalesce(F.col("acquisition_policy")["max_urls"].cast("int"), F.lit(300)).alias("max_urls"))), "source_id")
-    typed = feeds.cap_per_source(typed, F.col("max_urls"))
-    kinds = [r[0] for r in sources.select("adapter_type").distinct().collect()]
-    parts = [adapters[k](typed.filter(F.col("adapter_type") == k).select(*pages.columns)) for k in sorted(kinds) if k in adapters]
+    kinds = {r[0]: r[1] for r in sources.groupBy("adapter_type").agg(F.max(F.coalesce(F.col("acquisition_policy")["max_urls"].cast("int"), F.lit(300)))).collect()}
+    typed = feeds.cap_per_source(typed, F.col("max_urls"), ceiling=max(kinds.values(), default=300))
+    told = sources.select("source_id", "config") if "config" in sources.columns and "config" not in pages.columns else None
+
+    def of(kind: str) -> DataFrame:
+        own = typed.filter(F.col("adapter_type") == kind).select(*pages.columns)
+        return own.join(as_lookup(told), "source_id") if kind in feeds.CONFIGURED and told is not None else own
+
+    parts = [adapters[k](of(k)) for k in sorted(kinds) if k in adapters]
     if not parts:
         return feeds.tec(pages.limit(0))
     events = reduce(DataFrame.unionByName, parts)
@@ -54,15 +60,21 @@ def run(
     cache: DataFrame | None = None,
     previous: DataFrame | None = None,
     image_resolver: Callable | None = None,
+    reporter: Reporter | None = None,
 ) -> Run:
     """The chain: acquire, enrich and gate (with a client or cache, or further enrichers [V2]), collapse, merge, map, publish,
-    report. Everything is lazy; one `today` holds throughout."""
+    report, and tell the reporter [V3]. Everything is lazy; one `today` holds throughout."""
     events = found = acquire(pages, sources)
+    if client is not None and cache is None:
+        cache = pages.sparkSession.createDataFrame([], "identity string, content_hash string, reply string")
     if cache is not None:
         events, cache = enriching.enrich(events, cache, client)
     for e in enrichers:
         events = e(events)
     opportunities = to_opportunities(instances_of(events, today), partners, sources, image_resolver)
+    if reporter is not None:
+        reporter.record_sources(sources, found)
+        reporter.record_opportunities(opportunities)
     return Run(found, opportunities, published(opportunities, today), source_yield(found, opportunities, sources, previous), cache)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import taxonomy
 from ..functions.dates import is_bad_date, parse_iso
-from ..functions.text import filled, join_parts, present, strip_html
+from ..functions.text import filled, join_parts, present, strip_html, url_encode
 from ..schema import as_events
 
 _NAMES = "array<struct<name:string>>"
@@ -36,7 +36,7 @@ state:string,lat:double,lon:double>>""".replace("\n", "")
 def _records(pages: DataFrame, schema: str, rows: str) -> DataFrame:
     """One row `r` per record of good pages [F3], with its place `at` in the page."""
     good = pages.filter("status = 200").withColumn("payload", F.from_json("body", schema))
-    return good.select("source_id", "page_seq", "url", "payload", F.posexplode(rows).alias("at", "r"))
+    return good.select("source_id", "page_seq", "url", "payload", *[c for c in ("config",) if c in pages.columns], F.posexplode(rows).alias("at", "r"))
 
 
 def _seq() -> Column:
@@ -67,11 +67,14 @@ def first_per(df: DataFrame, key: Column, *scope: str, order: str = "at") -> Dat
     return df.withColumn("__n", F.row_number().over(w)).filter((F.col("__n") == 1) | (F.coalesce(key, F.lit("")) == "")).drop("__n")
 
 
-def cap_per_source(rows: DataFrame, most: Column | int = 300, order: str = "page_seq") -> DataFrame:
-    """[A8] The first `most` rows of each source."""
+def cap_per_source(rows: DataFrame, most: Column | int = 300, order: str = "page_seq", ceiling: int | None = None) -> DataFrame:
+    """[A8] The first `most` rows of each source. With a ceiling (the largest `most`) each task passes on no more than that of a
+    source, so none gets all rows of a large one; a fixed `most` is its own ceiling."""
     w = Window.partitionBy("source_id").orderBy(order)
-    most = F.lit(most) if isinstance(most, int) else most
-    return rows.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= most).drop("__n")
+    ceiling, most = (most, F.lit(most)) if isinstance(most, int) else (ceiling, most)
+    kept = rows.withColumn("__n", F.row_number().over(w))
+    kept = kept if ceiling is None else kept.filter(F.col("__n") <= F.lit(ceiling))
+    return kept.filter(F.col("__n") <= most).drop("__n")
 
 
 def page_numbers(probes: DataFrame, total: Column | str = "total_pages", most: int = 100) -> DataFrame:
@@ -158,31 +161,68 @@ def lever(pages: DataFrame, words: Column | None = None) -> DataFrame:
 
 
 def class_rows(pages: DataFrame) -> DataFrame:
-    """[A22] Rows of the class query, as the remote database returns them. Trusted: never gated."""
+    """[A22] Rows of the class query, as the remote database returns them. Trusted: never gated. Sign-ups go to the address that the
+    source's config gives for all of them."""
     r = _kept(_records(pages, CLASSES, "payload"), F.col("r.name"), F.col("r.start_at"), F.col("r.end_at"))
     return as_events(
-        r, 1.0, seq=_seq(), source_id="source_id", trusted=F.lit(True), external_id=F.col("r.occurrence_id").cast("string"), title=F.trim("r.name"), description=strip_html(F.coalesce(filled("r.description"), F.col("r.description_short"), F.lit(""))),
-        start=parse_iso("r.start_at"), end=parse_iso("r.end_at"), location=F.coalesce(filled("r.formatted_address"), join_parts("r.location_name", "r.city")), latitude=F.col("r.latitude"), longitude=F.col("r.longitude"),
-        categories=F.array_compact(F.array(filled("r.category_name"))),
+        r, 1.0, seq=_seq(), source_id="source_id", trusted=F.lit(True), external_id=F.col("r.service_id").cast("string"), title=F.trim("r.name"), description=strip_html(F.coalesce(filled(F.trim("r.description")), F.col("r.description_short"), F.lit(""))),
+        start=parse_iso("r.start_at"), end=parse_iso("r.end_at"), location=join_parts("r.location_name", "r.city"), latitude=F.col("r.latitude"), longitude=F.col("r.longitude"),
+        categories=F.array_compact(F.array(filled(F.trim("r.category_name")))), registration_url=F.col("config")["registration_url"] if "config" in pages.columns else None,
     )
 
 
 def club_rows(pages: DataFrame) -> DataFrame:
-    """[A22]"""
+    """[A22] Rows of the club query. Trusted too."""
     r = _kept(_records(pages, CLUBS, "payload"), F.col("r.title"), F.col("r.date_time"))
     return as_events(
-        r, 1.0, seq=_seq(), source_id="source_id", trusted=F.lit(True), external_id=F.col("r.id"), url=F.col("r.event_url"), title=F.trim("r.title"), description=strip_html("r.description"), start=parse_iso("r.date_time"),
-        location=join_parts("r.venue_name", "r.address", "r.city", "r.state"), latitude=F.col("r.lat"), longitude=F.col("r.lon"), registration_url=F.col("r.event_url"), image_url=F.col("r.featured_photo_url"), cost=F.lit("Free"),
+        r, 1.0, seq=_seq(), source_id="source_id", trusted=F.lit(True), external_id=F.col("r.id"), title=F.trim("r.title"), description=F.trim("r.description"), start=parse_iso("r.date_time"),
+        location=join_parts("r.venue_name", "r.city"), latitude=F.col("r.lat"), longitude=F.col("r.lon"), registration_url=F.trim("r.event_url"), image_url=F.trim("r.featured_photo_url"),
     )
 
 
+#: Words in the name or category of classes that are for staff.
+STAFF = ("Teacher", "Staff", "Professional Development")
+
+
+def remote_queries() -> tuple[str, str]:
+    """[A22] The class and the club query in the remote database's dialect: what next_occurrences and active_clubs say on tables."""
+    public = " AND ".join(f"s.name NOT LIKE '%{w}%' AND coalesce(s.category_name, '') NOT LIKE '%{w}%'" for w in STAFF)
+    coming = "SELECT *, row_number() OVER (PARTITION BY service_id ORDER BY start_at, id) AS place FROM event_occurrences WHERE state = 'active' AND deleted_at IS NULL AND start_at >= datetime('now')"
+    classes = (
+        "SELECT s.id AS service_id, s.name, s.description, s.description_short, s.category_name, s.service_type, o.id AS occurrence_id, o.start_at, o.end_at, "
+        "l.id AS location_id, l.name AS location_name, l.city, l.latitude, l.longitude, l.formatted_address, l.timezone "
+        f"FROM services s JOIN ({coming}) o ON o.service_id = s.id AND o.place = 1 LEFT JOIN locations l ON l.id = o.location_id "
+        f"WHERE s.visitors_can_view = 1 AND s.deleted_at IS NULL AND s.service_type IN ('Course', 'GroupClass') AND {public} ORDER BY o.start_at"
+    )
+    clubs = (
+        "SELECT m.id, m.title, m.description, m.date_time, m.event_url, m.featured_photo_url, m.venue_id, v.name AS venue_name, v.address, v.city, v.state, v.lat, v.lon "
+        "FROM meetup_events m LEFT JOIN meetup_venues v ON v.id = m.venue_id WHERE m.status = 'ACTIVE' AND m.deleted_at IS NULL AND m.date_time >= datetime('now') ORDER BY m.date_time"
+    )
+    return classes, clubs
+
+
+def remote_refs(sources: DataFrame, base: str = "", key: str = "") -> DataFrame:
+    """[A22] (source_id, page_seq, url, headers): page 0 is the class query, page 1 the club query; a source's api_base goes before
+    `base`. The key is sent as a bearer token and is part of no table that is written."""
+    url = F.concat(F.rtrim(F.coalesce(filled(F.col("config")["api_base"]), F.lit(base)), F.lit("/")), F.lit("/query?sql="))
+    pages = F.posexplode(F.array(*[url_encode(F.lit(q)) for q in remote_queries()])).alias("page_seq", "sql")
+    return sources.filter("adapter_type = 'remote_sql'").select("source_id", url.alias("at"), pages).select(
+        "source_id", F.col("page_seq").cast("long").alias("page_seq"), F.concat("at", "sql").alias("url"), F.create_map(F.lit("Authorization"), F.lit(f"Bearer {key}")).alias("headers")
+    )
+
+
+def remote_sql(pages: DataFrame) -> DataFrame:
+    """[A22] Classes and clubs of landed answers to remote_refs; a column `config` may tell where classes are signed up for."""
+    return class_rows(pages.filter("page_seq = 0")).unionByName(club_rows(pages.filter("page_seq = 1")))
+
+
 def next_occurrences(services: DataFrame, occurrences: DataFrame, locations: DataFrame, now: Column) -> DataFrame:
     """[W1, J5] The class query on tables at hand: each visible class with its next active occurrence, and where it is, if known."""
     w = Window.partitionBy("service_id").orderBy("start_at", "id")
     coming = occurrences.filter("deleted_at is null and state = 'active'").filter(F.col("start_at") >= now).withColumn("rn", F.row_number().over(w)).filter("rn = 1")
     coming = coming.select("service_id", F.col("id").alias("occurrence_id"), "start_at", "end_at", "location_id")
     s = services.filter("service_type in ('Course', 'GroupClass') and visitors_can_view = 1 and deleted_at is null")
-    for word in ("Teacher", "Staff", "Professional Development"):
+    for word in STAFF:
         s = s.filter(~F.contains("name", F.lit(word)) & ~F.contains(F.coalesce("category_name", F.lit("")), F.lit(word)))
     s = s.select(F.col("id").alias("service_id"), "name", "description", "description_short", "category_name", "service_type")
     places = locations.select(F.col("id").alias("location_id"), F.col("name").alias("location_name"), "city", "latitude", "longitude", "formatted_address", "timezone")
@@ -197,4 +237,6 @@ def active_clubs(meetups: DataFrame, venues: DataFrame, now: Column) -> DataFram
 
 
 #: [A7] Adapters by type; register further ones here (V1).
-ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {"tec_rest": tec, "wordpress_rest": wordpress, "localist": localist, "bibliocommons": bibliocommons, "greenhouse": greenhouse, "lever": lever}
+ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {"tec_rest": tec, "wordpress_rest": wordpress, "localist": localist, "bibliocommons": bibliocommons, "greenhouse": greenhouse, "lever": lever, "remote_sql": remote_sql}
+#: Adapters that read a column `config` of their pages: the source's own settings.
+CONFIGURED = ("remote_sql",)

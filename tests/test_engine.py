@@ -132,7 +132,7 @@ def test_store(spark, tmp_path):
 
 
 def test_enrichment(spark):
-    good = json.dumps({"description": "better", "areas_of_interest": ["Math"], "age_grade_level": [], "cost_range": "", "time_of_day": [], "relevant": True, "relevance_reason": "r"})
+    good = json.dumps({"start": None, "end": None, "all_day": None, "location": "better", "cost": None, "registration_url": None, "areas_of_interest": ["Math"], "age_grade_level": [], "cost_range": "", "time_of_day": [], "relevant": True, "relevance_reason": "r"})
     bad = json.dumps(json.loads(good) | {"relevant": False})
 
     def client(e):
@@ -144,7 +144,7 @@ def test_enrichment(spark):
     empty = spark.createDataFrame([], "identity string, content_hash string, reply string")
     out, cache = enrich.enrich(e, empty, client)
     got = {r["title"]: r for r in out.collect()}
-    assert set(got) == {"Good", "Trusted", "Fails", "Odd", "Job"} and got["Good"]["description"] == "better"
+    assert set(got) == {"Good", "Trusted", "Fails", "Odd", "Job"} and got["Good"]["location"] == "better"
     assert got["Good"]["field_provenance"]["areas_of_interest"]["confidence"] == 0.7 and got["Fails"]["field_provenance"]["areas_of_interest"]["confidence"] == 0.3
     assert got["Job"]["relevant"] is None and cache.count() == 3
     assert enrich.misses(enrich.keyed(e), cache).count() == 2
