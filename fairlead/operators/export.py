@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from datetime import date, datetime
 from pathlib import Path
 
@@ -39,27 +40,37 @@ def published(opportunities: DataFrame, today: date) -> DataFrame:
     return rows.orderBy("date_start", "part", "seq").select(*OPPORTUNITY_COLUMNS)
 
 
+def _write_json(rows: DataFrame, columns: Iterable[str], target: Path) -> int:
+    """A JSON array in a local file, read row by row, not gathered; the file is there whole or not at all."""
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part, n = target.with_name(f"{target.name}.part"), 0
+    with part.open("w", encoding="utf-8") as f:
+        f.write("[")
+        for r in rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
+            f.write(("," if n else "") + "\n" + r["j"])
+            n += 1
+        f.write("\n]\n")
+    part.replace(target)
+    return n
+
+
 def export_opportunities(opportunities: DataFrame, folder: str, today: date, now: datetime | None = None, dry_run: bool = False) -> dict:
-    """[X4] opportunities.json and scrape-meta.json in a local folder, for a site that takes one file; what is published is read row
-    by row, not gathered. Returns the meta data."""
+    """[X4] opportunities.json and scrape-meta.json in a local folder, for a site that takes one file. Returns the meta data."""
     rows = published(opportunities, today)
     meta = {"last_updated": (now or datetime.now()).isoformat(timespec="seconds"), "count": 0}
     if dry_run:
         return meta | {"count": rows.count()}
-    target = Path(folder)
-    target.mkdir(parents=True, exist_ok=True)
-    part = target / "opportunities.json.part"
-    with part.open("w", encoding="utf-8") as f:
-        f.write("[")
-        for r in rows.select(F.to_json(F.struct(*OPPORTUNITY_COLUMNS), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
-            f.write(("," if meta["count"] else "") + "\n" + r["j"])
-            meta["count"] += 1
-        f.write("\n]\n")
-    part.replace(target / "opportunities.json")
-    (target / "scrape-meta.json").write_text(json.dumps(meta))
+    meta["count"] = _write_json(rows, OPPORTUNITY_COLUMNS, Path(folder) / "opportunities.json")
+    (Path(folder) / "scrape-meta.json").write_text(json.dumps(meta))
     return meta
 
 
+def export_older(opportunities: DataFrame, folder: str, today: date, dry_run: bool = False) -> int:
+    """[2.15, S24] opportunities.json of the older chain: current ones with unique slugs, in order of date_start, then of arrival."""
+    rows = unique_slugs(current(opportunities, today), "seq").orderBy("date_start", "seq")
+    return rows.count() if dry_run else _write_json(rows, [c for c in rows.columns if c != "seq"], Path(folder) / "opportunities.json")
+
+
 def write_opportunities(opportunities: DataFrame, path: str, today: date) -> None:
     """The same rows as Parquet, at any size."""
     published(opportunities, today).write.mode("overwrite").parquet(path)

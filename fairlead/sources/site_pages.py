@@ -29,6 +29,8 @@ PLACES = {
     "title_date": {"title": ("h1", "title"), "date_text": ("in:title", "day"), "venue": (), "description": ("m:og:description", "m:description")},
     "generic": {"title": ("m:og:title", "h1", "title"), "date_text": ("c:date", "day"), "venue": ("c:venue", "c:location"), "description": ("m:og:description", "m:description", "c:content")},
 }
+#: Fixed value: the header that names a site's events API.
+API_HEADER = "x-tec-api-root"
 FIELDS = ("title", "date_text", "venue", "description", "image_url", "registration_url", "modified_time")
 
 
@@ -113,17 +115,19 @@ def page_kind(url: Column, domain: Column, platform: Column, plugin: Column, lib
 
 
 def extract_pages(pages: DataFrame, library: tuple[str, ...] = (), title_date: tuple[str, ...] = ()) -> DataFrame:
-    """[H8, H9] Records of pages(organization, domain, platform, plugin, url, html, source_method): the fields, a start from the text, else
-    from the address, else from the time of change (then date_text says so), the kind of event and a confidence; valid ones only."""
+    """[H8, H9] Records of pages(organization, domain, platform, plugin, url, html, source_method, and headers where they are kept): the fields, the address of an
+    API that the headers name, a start from the text, else from the address, else from the time of change (then date_text says so), the kind of event and a confidence; valid ones only."""
     kinds = pages.withColumn("kind", page_kind(F.col("url"), F.col("domain"), F.col("platform"), F.col("plugin"), library, title_date))
-    keep = kinds.select("organization", "domain", "url", "source_method", "kind", "html")
+    names = F.filter(F.map_entries("headers"), lambda e: F.lower(e["key"]) == API_HEADER) if "headers" in pages.columns else None
+    api = F.coalesce(F.get(names, F.lit(0))["value"], F.lit("")) if names is not None else F.lit("")
+    keep = kinds.select("organization", "domain", "url", "source_method", "kind", api.alias("api_url"), "html")
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = pd.DataFrame([page_record(h, k) for h, k in zip(b["html"], b["kind"])], columns=FIELDS)
             yield pd.concat([b.drop(columns="html").reset_index(drop=True), got], axis=1)
 
-    texts = "organization string, domain string, url string, source_method string, kind string, " + ", ".join(f"{c} string" for c in FIELDS)
+    texts = "organization string, domain string, url string, source_method string, kind string, api_url string, " + ", ".join(f"{c} string" for c in FIELDS)
     r = keep.mapInPandas(f, texts).withColumn("said", parse_date_text("date_text"))
     dashed = filled(F.regexp_extract("url", r"/(\d{4}-\d{2}-\d{2})", 1))
     slashed = F.nullif(F.regexp_replace(F.regexp_extract("url", r"/(\d{4}/\d{2}/\d{2})/", 1), "/", "-"), F.lit(""))
@@ -132,5 +136,5 @@ def extract_pages(pages: DataFrame, library: tuple[str, ...] = (), title_date: t
     r = r.withColumn("start_date", F.coalesce(known, changed, F.lit(""))).withColumn("end_date", F.col("said.end"))
     r = r.withColumn("date_text", F.when(known.isNull() & changed.isNotNull() & ~present("date_text"), F.concat(F.lit("modified:"), changed)).otherwise(F.col("date_text")))
     r = r.withColumn("event_type", taxonomy.event_kind("url", "title"))
-    r = r.withColumn("confidence", taxonomy.record_confidence(F.col("title"), F.col("date_text"), F.col("description"), F.col("registration_url"), F.lit(""), F.col("source_method")))
+    r = r.withColumn("confidence", taxonomy.record_confidence(F.col("title"), F.col("date_text"), F.col("description"), F.col("registration_url"), F.col("api_url"), F.col("source_method")))
     return r.filter(is_valid("url", "title")).drop("said", "kind", "modified_time")
