@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 import numpy as np
@@ -115,10 +117,31 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Returns to the system what this process has freed: Python workers live on between tasks and stages, and allocators keep freed
+    memory, which would add up to the most that any stage has needed in each of them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """f, after which the worker gives freed memory back."""
+
+    def g(batches: Iterator) -> Iterator:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return g
+
+
 def mapped(df: DataFrame, f: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
     """mapInPandas over batches of bounded size."""
     small_batches(df.sparkSession)
-    return df.mapInPandas(f, schema)
+    return df.mapInPandas(giving_back(f), schema)
 
 
 def by_group(df: DataFrame, keys: list[str], f: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:

@@ -29,13 +29,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, small_batches
+from .common import give_back, mapped, small_batches
 
 #: Bounds of the training sample: documents of each label, landmarks, negatives in the first round and added in a later one.
 PER_LABEL, LANDMARKS, NEGATIVES, HARD = 2000, 96, 12_000, 3_000
 DECAY, LONGEST, ALPHABET = 0.5, 24, 64
 #: Codes that all characters share which are not among the commonest of the training sample, by a hash of the code point.
 SHARED = 12
+#: Words that are worked on at once: norms take some 15 kB for each of the longest.
+PIECES = 3_000
 #: How many of a document's words its score rests on.
 TOP = 4
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -90,9 +92,9 @@ class Kernel:
                     at.append(i)
                     parts.append(part)
         for n, (at, parts) in by.items():
-            for k in range(0, len(parts), 20_000):
-                points = np.array(parts[k : k + 20_000], f"<U{n}").view(np.uint32).reshape(-1, n)
-                yield np.array(at[k : k + 20_000]), points, self.table[points].astype(np.int64)
+            for k in range(0, len(parts), PIECES):
+                points = np.array(parts[k : k + PIECES], f"<U{n}").view(np.uint32).reshape(-1, n)
+                yield np.array(at[k : k + PIECES]), points, self.table[points].astype(np.int64)
 
     def sums(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Of weights[triple] * DECAY ** span over all subsequences of each row."""
@@ -314,8 +316,12 @@ def _column(model: Model):
     @F.pandas_udf("double")
     def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
-        for texts in batches:
-            yield pd.Series(scorer.scores(texts))
+        try:
+            for texts in batches:
+                yield pd.Series(scorer.scores(texts))
+        finally:
+            del scorer
+            give_back()
 
     return column
 
