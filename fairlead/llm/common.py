@@ -126,10 +126,22 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def giving_back(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """f, after which the worker gives freed memory back."""
+#: What a worker process keeps between the tasks of one operator, by the operator's name.
+_kept: dict[str, dict] = {}
+
+
+def kept_for(owner: str) -> dict:
+    """What this process keeps for the operator; what it kept for others goes, as a worker outlives the stages that it works for."""
+    for other in _kept.keys() - {owner}:
+        del _kept[other]
+    return _kept.setdefault(owner, {})
+
+
+def giving_back(f: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iterator], Iterator]:
+    """f, before which the worker lets go of what it kept for others, and after which it gives freed memory back."""
 
     def g(batches: Iterator) -> Iterator:
+        kept_for(owner)
         try:
             yield from f(batches)
         finally:
@@ -138,10 +150,10 @@ def giving_back(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
     return g
 
 
-def mapped(df: DataFrame, f: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    """mapInPandas over batches of bounded size."""
+def mapped(df: DataFrame, f: Callable[[Iterator], Iterator], schema: str, owner: str = "") -> DataFrame:
+    """mapInPandas over batches of bounded size; `owner`: see kept_for()."""
     small_batches(df.sparkSession)
-    return df.mapInPandas(giving_back(f), schema)
+    return df.mapInPandas(giving_back(f, owner), schema)
 
 
 def by_group(df: DataFrame, keys: list[str], f: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:

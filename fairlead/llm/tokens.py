@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import key_bounds, mapped, order_key, partitions, range_of, shared_dir
+from .common import kept_for, key_bounds, mapped, order_key, partitions, range_of, shared_dir
 
 BLOCK_IDS = 1 << 16
 SCHEMA = "shard int, block long, first long, n_ids long, first_id long, last_id long, bits int, doc_ids binary, offsets binary, payload binary"
@@ -196,15 +196,13 @@ class WordEncoder:
         return next(self.encode_all([text]))
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """One for each process and tokenizer, so that later tasks find words already encoded."""
+    """One for each process and tokenizer, so that later tasks find words already encoded; gone once the process works for others."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    encoders = kept_for("tokens")
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
@@ -249,7 +247,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
 
     base = docs.select(order_key(F.col(id_col)).alias("k"), F.coalesce(text_col, F.lit("")).alias("text"))
     dealt = base.withColumn("shard", range_of(F.col("k"), bounds)).repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "k", "text")
-    mapped(dealt, f, SCHEMA).write.parquet(path)
+    mapped(dealt, f, SCHEMA, owner="tokens").write.parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, mapped, small_batches
+from .common import give_back, kept_for, mapped, small_batches
 
 #: Bounds of the training sample: documents of each label, landmarks, negatives in the first round and added in a later one.
 PER_LABEL, LANDMARKS, NEGATIVES, HARD = 2000, 96, 12_000, 3_000
@@ -315,6 +315,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed:
 def _column(model: Model):
     @F.pandas_udf("double")
     def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept_for("")
         scorer = Scorer(model)
         try:
             for texts in batches:
