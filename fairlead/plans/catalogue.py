@@ -89,9 +89,9 @@ def q_flagship_upcoming(spark, d):
     return out.select("slug", F.coalesce("partner_name", "source_id").alias("partner_name"), "partner_id", F.date_format("start", "yyyy-MM-dd").alias("day"), "availability")
 
 
-@query(f"SELECT doc_id, {_NORM('split_part(text, chr(10), 1)')} AS title_norm FROM documents")
+@query(f"SELECT doc_id, {_NORM('text')} AS title_norm FROM documents")
 def q_norm_title(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.normalize_title(F.substring_index("text", "\n", 1)).alias("title_norm"))
+    return table(spark, d, "documents").select("doc_id", text.normalize_title(F.col("text")).alias("title_norm"))
 
 
 @query(f"SELECT p_partkey, {_SLUG('p_name')} AS slug, {_SLUG('p_type')} AS kind FROM part")
@@ -495,16 +495,16 @@ def q_image_dedup(spark, d):
     return h.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
 
 
-@query(f"""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source, {_NORM('split_part(text, chr(10), 1)')} ORDER BY doc_id) AS n FROM documents) WHERE n = 1""")
+@query(f"""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source, {_NORM('text')} ORDER BY doc_id) AS n FROM documents) WHERE n = 1""")
 def q_first_per_org(spark, d):
-    r = table(spark, d, "documents").select("doc_id", F.col("source").alias("org"), F.substring_index("text", "\n", 1).alias("title"), F.col("doc_id").alias("seq"))
+    r = table(spark, d, "documents").select("doc_id", F.col("source").alias("org"), F.col("text").alias("title"), F.col("doc_id").alias("seq"))
     return legacy.first_per_org(r).select("doc_id")
 
 
-@query(f"""WITH k AS (SELECT doc_id, source AS org, {_NORM('split_part(text, chr(10), 1)')} AS t, length(text) AS n, (2020 + doc_id % 5)::VARCHAR AS day FROM documents)
+@query(f"""WITH k AS (SELECT doc_id, source AS org, {_NORM('text')} AS t, length(text) AS n, (2020 + doc_id % 5)::VARCHAR AS day FROM documents)
 SELECT org, arg_max(doc_id, (n, -doc_id)) AS doc_id, min(day) AS first_day, max(day) AS last_day, count(*) AS repeat_count FROM k GROUP BY org, t""")
 def q_collapse_titles(spark, d):
-    r = table(spark, d, "documents").select("doc_id", F.col("source").alias("org"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("description"), F.col("doc_id").alias("seq"), (2020 + F.col("doc_id") % 5).cast("string").alias("start_date"))
+    r = table(spark, d, "documents").select("doc_id", F.col("source").alias("org"), F.col("text").alias("title"), F.col("text").alias("description"), F.col("doc_id").alias("seq"), (2020 + F.col("doc_id") % 5).cast("string").alias("start_date"))
     return legacy.collapse_titles(r).select("org", "doc_id", "first_day", "last_day", "repeat_count")
 
 
@@ -523,11 +523,11 @@ def q_urls(spark, d):
     return table(spark, d, "pages").select("page_id", text.domain_of("url").alias("domain"), text.clean_url("url").alias("clean"), discovery.is_event_path("url").alias("event_path"))
 
 
-@query("""SELECT doc_id, (contains(lower(split_part(text, chr(10), 1)), '404') OR length(text) < 30 OR lower(split_part(text, chr(10), 1)) IN ('events', 'programs', 'classes', 'calendar')) AS junk,
+@query("""SELECT doc_id, (contains(lower(text), '404') OR length(text) < 30 OR lower(text) IN ('events', 'programs', 'classes', 'calendar')) AS junk,
   CASE WHEN length(text) > 150 THEN regexp_replace(substr(text, 1, 150), '\\s+\\S*$', '') || '…' ELSE text END AS short, trim(split_part(text, ',', 1)) AS city FROM documents""")
 def q_text_rules(spark, d):
     """F6 S11 S12"""
-    r = table(spark, d, "documents").withColumn("title", F.substring_index("text", "\n", 1))
+    r = table(spark, d, "documents").withColumn("title", F.col("text"))
     return r.select("doc_id", legacy.is_junk("title", "text").alias("junk"), text.truncate("text").alias("short"), text.parse_city("text").alias("city"))
 
 
