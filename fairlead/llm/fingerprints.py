@@ -4,7 +4,10 @@ A text is normalised (NFKC, case folded, NFKC again, white space runs to one spa
 Documents are then grouped by digest, and within equal digests by the canonical bytes themselves: where two canonical texts share
 a digest, each but the smallest gets its ordinal appended. So equal fingerprints mean equal canonical bytes.
 
-Grouping is by (digest, compressed canonical bytes) with counts summed in each task before the shuffle: a group of copies of any
+Only texts whose digest may recur are compared. A first pass counts 64-bit keys of digests and marks each recurring key's slot in a
+bitmap of SLOTS bits, whatever the corpus's size; a second groups the texts in marked slots by (digest, compressed canonical bytes).
+Texts in a marked slot by chance are grouped in vain: the more keys recur the more there are, until with some SLOTS of them all texts
+are, which takes more shuffling and changes no result. Counts are summed in each task before a shuffle, so a group of copies of any
 size sends one row a task, and the bytes are compared in the aggregation's own key comparison.
 """
 
@@ -13,13 +16,14 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from .common import key_bounds, mapped, order_key, partitions
 
 
@@ -48,20 +52,62 @@ def _body(text: str | None) -> bytes:
     return canonical(text).encode("utf-8", "surrogatepass")
 
 
+#: Bits of the map of recurring digests, a power of two; the map is held by the driver and each worker (8 MB).
+SLOTS = 1 << 26
+
+
+def _keys(digests: Iterable[str]) -> np.ndarray:
+    """A 64-bit key of each digest: equal digests have equal keys."""
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, digests), np.uint64).view(np.int64)
+
+
+def recurring(texts: DataFrame, hashed: Callable[[bytes], str]) -> np.ndarray | None:
+    """A bitmap (64 to a word) with the slot of every key that two or more rows of `text` have; None if there is no such key. At most
+    SLOTS / 64 words reach the driver."""
+
+    def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"key": _keys(hashed(_body(t)) for t in b["text"])})
+
+    twice = mapped(texts, f, "key long").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    slot = twice.select(F.col("key").bitwiseAND(F.lit(SLOTS - 1)).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
+    if not words.num_rows:
+        return None
+    out = np.zeros(max(1, SLOTS // 64), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _marked(keys: np.ndarray, bitmap: np.ndarray, slots: int) -> np.ndarray:
+    at = keys.view(np.uint64) & np.uint64(slots - 1)
+    return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 #: So many clashing canonical texts mean that the digest is broken, not that the corpus is large.
 MOST_CLASHES = 10_000
 
 
 def clashes(docs: DataFrame, text_col: str = "text", hashed: Callable[[bytes], str] = xxh128) -> dict[str, dict[bytes, int]]:
     """Digests that two or more different canonical texts share, with the ordinal of each text: the byte comparison inside equal
-    buckets. Nothing but such clashes reaches the driver, and 128 bits leave none to be expected at any corpus size."""
+    buckets. No texts but such clashes reach the driver, and 128 bits leave none to be expected at any corpus size; bodies are
+    shuffled only where a digest may recur."""
+    texts, slots = docs.select(F.col(text_col).alias("text")), SLOTS
+    bitmap = recurring(texts, hashed)
+    if bitmap is None:
+        return {}
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             c = [_body(t) for t in b["text"]]
-            yield pd.DataFrame({"digest": [hashed(x) for x in c], "body": [zlib.compress(x, 1) for x in c]})
+            digests = [hashed(x) for x in c]
+            at = np.flatnonzero(_marked(_keys(digests), bitmap, slots)).tolist()
+            if at:
+                yield pd.DataFrame({"digest": [digests[i] for i in at], "body": [zlib.compress(c[i], 1) for i in at]})
 
-    got = mapped(docs.select(F.col(text_col).alias("text")), f, "digest string, body binary")
+    got = mapped(texts, f, "digest string, body binary")
     classes = got.groupBy("digest", "body").agg(F.count("*").alias("n"))
     shared = classes.groupBy("digest").agg(F.count("*").alias("classes")).filter("classes > 1").select("digest")
     found = [r[0] for r in shared.limit(MOST_CLASHES + 1).collect()]
@@ -105,8 +151,9 @@ def fingerprint_edits(docs: DataFrame, hashed: Callable[[bytes], str] = xxh128)
 
     The fingerprint is exact, so likeness is 1 for equal canonical texts and 0 else. Documents are dealt by ranges of doc_id; the
     first of each range also goes, as a closing row, to the range before (the first of all to the last range), so each task sees
-    every following text without a global sort. A single document follows itself."""
-    name = _named(hashed, clashes(docs, "text", hashed))
+    every following text without a global sort. A single document follows itself. Pass a table as it was read: it is spread here,
+    and only where texts are hashed before they are dealt."""
+    name = _named(hashed, clashes(spread(docs), "text", hashed))
     base = docs.select(order_key(F.col("doc_id")).alias("k"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     bounds = key_bounds(docs, "doc_id", 4 * partitions(docs.sparkSession))
 

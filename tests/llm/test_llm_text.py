@@ -49,6 +49,47 @@ def test_texts_that_share_a_digest_are_told_apart_by_their_bytes(spark):
     assert all(marks[fingerprints.canonical(r["text"])] == r["fingerprint"] for r in got)
 
 
+def shuffled_bytes(spark):
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    stages = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_only_texts_whose_digest_recurs_are_shuffled_for_the_byte_comparison(spark):
+    draw = random.Random(5)
+    texts = [draw.randbytes(5_000).hex() for _ in range(200)]  # some 5,000 bytes each, compressed
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate([*texts, texts[0]])], DOCS)
+    before = shuffled_bytes(spark)
+    assert fingerprints.clashes(docs) == {}
+    assert shuffled_bytes(spark) - before < 100_000
+
+
+def test_op2_deals_the_texts_of_a_single_file_no_more_often_than_it_has_to(spark, tmp_path):
+    draw = random.Random(6)
+    rows = [(i, draw.randbytes(5_000).hex(), "s") for i in range(200)]
+    spark.createDataFrame(rows, DOCS).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    before = shuffled_bytes(spark)
+    assert len(queries.op2_fingerprints(spark, str(tmp_path)).collect()) == 200
+    assert shuffled_bytes(spark) - before < 2.6 * 200 * 10_000  # spread over cores for hashing, and by ranges of ids
+
+
+@pytest.mark.parametrize("slots", [1, 64, 1 << 26])
+def test_clashes_are_found_whatever_the_map_of_recurring_digests_holds(spark, monkeypatch, slots):
+    def weak(body):
+        return str(sum(body) % 40) if len(body) == 2 else "long" + body.hex()
+
+    monkeypatch.setattr(fingerprints, "SLOTS", slots)
+    texts = [f"{i:02}" for i in range(30)] * 2 + ["once and no more", "twice alike", "twice alike", "", None]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], DOCS).repartition(7)
+    by = {}
+    for t in texts:
+        by.setdefault(weak(c := fingerprints.canonical(t).encode()), set()).add(c)
+    want = {d: {c: n for n, c in enumerate(sorted(bodies))} for d, bodies in by.items() if len(bodies) > 1}
+    assert len(want) > 3 and fingerprints.clashes(docs, hashed=weak) == want
+    assert fingerprints.clashes(docs) == {} and fingerprints.clashes(docs.filter("doc_id < 30")) == {}
+
+
 def test_op2_against_a_loop(spark):
     got = {r["doc_id"]: r for r in queries.op2_fingerprints(spark, SF).collect()}
     rows = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
